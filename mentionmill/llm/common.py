@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -20,6 +22,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="mentionmill-"))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once for a Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_mentionmill_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="mentionmill-")) / "mentionmill.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    context.addPyFile(str(archive))
+    context._mentionmill_shipped = True
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from the files: executors may be lost, work is not repeated."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionmill.llm import decontaminate, line_dedup, quality, sharding
+from mentionmill.llm import decontaminate, line_dedup, minhash_dedup, quality, sharding, substring_dedup, suffix_dedup
 from mentionmill.llm.common import table
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), length=400)
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_windows(table(spark, sf_dir, "documents"), span=13)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -30,8 +42,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op2_line_dedup, op5_quality_rules, op6_sharding, op9_decontamination)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_line_dedup, op3_suffix_dedup, op4_substring_dedup, op5_quality_rules, op6_sharding, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.SQL, "op5_quality_rules": quality.SQL, "op9_decontamination": decontaminate.SQL}
+    return {"op1_near_dedup": minhash_dedup.SQL, "op2_line_dedup": line_dedup.SQL, "op4_substring_dedup": substring_dedup.SQL, "op5_quality_rules": quality.SQL, "op9_decontamination": decontaminate.SQL}
