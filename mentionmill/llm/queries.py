@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionmill.llm import decontaminate, line_dedup, minhash_dedup, quality, sharding, substring_dedup, suffix_dedup
+from mentionmill.llm import decontaminate, line_dedup, minhash_dedup, packing, quality, sharding, substring_dedup, suffix_dedup
 from mentionmill.llm.common import table
 
 
@@ -35,6 +35,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.concat_ws(",", "item_ids"), 256)
@@ -42,7 +48,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_near_dedup, op2_line_dedup, op3_suffix_dedup, op4_substring_dedup, op5_quality_rules, op6_sharding, op9_decontamination)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_line_dedup, op3_suffix_dedup, op4_substring_dedup, op5_quality_rules, op6_sharding, op7_packing, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
