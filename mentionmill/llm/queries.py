@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionmill.llm import decontaminate, line_dedup, minhash_dedup, packing, quality, sharding, substring_dedup, suffix_dedup
+from mentionmill.llm import decontaminate, extraction, line_dedup, minhash_dedup, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity
 from mentionmill.llm.common import table
 
 
@@ -41,14 +41,23 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.concat_ws(",", "item_ids"), 256)
     return out.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.expected_severity(docs, toxicity.fit_on(docs, table(spark, sf_dir, "labels")))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_near_dedup, op2_line_dedup, op3_suffix_dedup, op4_substring_dedup, op5_quality_rules, op6_sharding, op7_packing, op9_decontamination)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_line_dedup, op3_suffix_dedup, op4_substring_dedup, op5_quality_rules, op6_sharding, op7_packing, op8_html_extraction, op9_decontamination, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
