@@ -1,0 +1,23 @@
+"""Send the package to Python workers where it is not installed."""
+
+from __future__ import annotations
+
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+
+def ship(spark: SparkSession) -> None:
+    """Once for a Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_mentionmill_engine_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="mentionmill-")) / "mentionmill_engine.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    context.addPyFile(str(archive))
+    context._mentionmill_engine_shipped = True
