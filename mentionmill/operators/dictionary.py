@@ -16,7 +16,7 @@ def match_terms(texts: DataFrame, terms: DataFrame, key: str, ignore_case: bool
     low = F.lower if ignore_case else lambda c: F.col(c) if isinstance(c, str) else c
     words = texts.select(key, low("text").alias("text")).withColumn("word", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\w+)"), F.lit(1)))))
     heads = terms.select("term", low("term").alias("_t")).withColumn("word", F.regexp_extract("_t", r"\w+", 0)).where("word <> ''").distinct()
-    found = words.join(heads, "word").where((F.col("_t") == F.col("word")) | F.col("text").rlike(F.concat(F.lit(r"\b\Q"), F.col("_t"), F.lit(r"\E\b"))))
+    found = words.join(heads, "word").where((F.col("_t") == F.col("word")) | F.rlike("text", F.concat(F.lit(r"\b\Q"), F.col("_t"), F.lit(r"\E\b"))))
     return found.select(key, "term").distinct()
 
 

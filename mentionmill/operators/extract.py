@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 PAIR = r"Variant:\s*([\w\d.*-]+),\s*Gene:\s*([\w\d]+)"
 PAIR_HGVS = r"Variant:\s*([\w\d.*>-]+),\s*Gene:\s*([\w\d]+)"
@@ -62,7 +62,7 @@ def prompts(df: DataFrame, templates: list[str], *columns: str) -> DataFrame:
 
 def call_model(df: DataFrame, ask: Callable[[list[str]], list[str]], prompt: str = "prompt", response: str = "response") -> DataFrame:
     """Ask a model for each prompt, by batches; a batch that fails is asked row by row, rows that fail answer ``ERROR``."""
-    schema = df.schema.add(response, "string")
+    schema = StructType([*df.schema.fields, StructField(response, StringType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

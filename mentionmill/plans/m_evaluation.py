@@ -94,7 +94,7 @@ def m09(spark, d):
 @query("M10_model_by_gene", "SELECT p_type, " + ", ".join(f"count_if(l_returnflag = '{k}') AS \"{k}\"" for k in ("A", "N", "R")) + " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type")
 def m10(spark, d):
     rows = table(spark, d, "lineitem").join(table(spark, d, "part"), C("l_partkey") == C("p_partkey"))
-    return rows.groupBy("p_type").pivot("l_returnflag", ["A", "N", "R"]).agg(F.count("*")).na.fill(0)
+    return rows.groupBy("p_type").pivot("l_returnflag", ["A", "N", "R"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
 @query("M11_runtimes", "SELECT model, minutes, ord FROM (SELECT event_type AS model, round(sum(value) / 60, 4) AS minutes FROM events GROUP BY 1) JOIN (SELECT unnest(['view', 'error', 'click']) AS k, unnest([1, 2, 3]) AS ord) ON k = model")
