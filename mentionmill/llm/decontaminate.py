@@ -31,6 +31,11 @@ def _winnowed(grams: Column, window: int) -> Column:
     return F.when(n >= window, least).otherwise(F.array().cast("array<bigint>"))
 
 
+def _every(words: Column, m: int) -> Column:
+    """All runs of ``m`` words with their places."""
+    return F.transform(_grams(words, m), lambda x, i: F.struct(F.lit(m).alias("m"), i.alias("at"), x.alias("mark")))
+
+
 def contaminated_words(docs: DataFrame, bench: DataFrame, span: int = 13, k: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Measure for every document the words that lie in a shared run of ``span`` words with a benchmark item.
 
@@ -65,7 +70,7 @@ def contaminated_words(docs: DataFrame, bench: DataFrame, span: int = 13, k: int
     # The place of a choice is its window's. Equal neighbours say the same: the first is kept, and one at least of every ``window`` places.
     fresh = lambda x, i: (i % window == 0) | (x != F.col("least")[F.greatest(i - 1, F.lit(0))])
     firsts = F.filter(F.transform("least", lambda x, i: F.when(fresh(x, i), F.struct(F.lit(span).alias("m"), i.alias("at"), x.alias("mark")))), lambda x: x.isNotNull())
-    kinds = [firsts] + [F.transform(_grams(F.col("words"), m), lambda x, i, m=m: F.struct(F.lit(m).alias("m"), i.alias("at"), x.alias("mark"))) for m in short]
+    kinds = [firsts] + [_every(F.col("words"), m) for m in short]
     found = found.select("id", "_th", F.explode(F.concat(*kinds) if short else firsts).alias("f")).select("id", "_th", "f.*")
     hits = found.join(marks, ["m", "mark"]).groupBy("id", "_th").agg(F.collect_list(F.struct("m", "at")).alias("hits"))
     hits = cut(hits)
