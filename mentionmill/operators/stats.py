@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
@@ -17,10 +18,11 @@ def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     """The probability of tables no likelier than ``[[a, b], [c, d]]`` with its margins."""
     row, col, n = a + b, a + c, a + b + c + d
     low, high = max(0, row + col - n), min(row, col)
-    base = _log_choose(n, col)
-    logs = [_log_choose(row, k) + _log_choose(n - row, col - k) - base for k in range(low, high + 1)]
-    seen = logs[a - low] + math.log1p(1e-7)
-    return min(1.0, math.fsum(math.exp(x) for x in logs if x <= seen))
+    k = np.arange(low, high, dtype=float)
+    steps = np.log(row - k) + np.log(col - k) - np.log(k + 1) - np.log(n - row - col + k + 1)
+    start = _log_choose(row, low) + _log_choose(n - row, col - low) - _log_choose(n, col)
+    logs = start + np.concatenate([[0.0], np.cumsum(steps)])
+    return float(min(1.0, np.exp(logs[logs <= logs[a - low] + 1e-7]).sum()))
 
 
 @F.pandas_udf(DoubleType())
