@@ -108,23 +108,46 @@ def _confirmed(size: int, percent: int):
     return run
 
 
-def _tile_pairs(least: float):
-    """Candidate pairs of one tile: rows of two sides (or one with itself) whose components differ and signatures agree."""
+def _tile_links(least: float, size: int, percent: int):
+    """Links between components within one tile: rows of two sides, or of one with itself.
+
+    Pairs whose signatures agree are confirmed here on their full sets, each in
+    the smallest open bucket that both rows share, and only if the links found
+    in the tile don't connect them already; so a tile returns fewer links than
+    it has rows.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        ids, comp = table["node"].to_numpy(), table["component"].to_numpy()
+        key, ids, comp = table["key"][0].as_py(), table["node"].to_pylist(), table["component"].to_numpy()
         sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+        keys, bodies = [frozenset(k) for k in table["keys"].to_pylist()], table["body"].to_pylist()
         side, same = table["side"].to_numpy(), table["i"][0].as_py() == table["j"][0].as_py()
         left = np.arange(len(ids)) if same else np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
-        a, b = [], []
-        for x in left:
-            near = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) if same else True)]
+        open_, sets, parent, out = zstandard.ZstdDecompressor(), {}, {c: c for c in comp.tolist()}, []
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        def shingles(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = shingle_hashes(open_.decompress(bodies[k]), size)
+            return sets[k]
+
+        for x in left.tolist():
+            near = right[(comp[right] != comp[x]) & ((right > x) if same else True)]
             near = near[(sig[near] == sig[x]).mean(axis=1) >= least] if len(near) else near
-            a.append(np.full(len(near), ids[x]))
-            b.append(ids[near])
-        a, b = (np.concatenate(v).astype(np.int64) if v else np.zeros(0, np.int64) for v in (a, b))
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+            for y in near.tolist():
+                a, b = root(int(comp[x])), root(int(comp[y]))
+                if a == b or min(keys[x] & keys[y]) != key:
+                    continue
+                both = len(np.intersect1d(shingles(x), shingles(y), assume_unique=True))
+                if 100 * both >= percent * (len(shingles(x)) + len(shingles(y)) - both):
+                    parent[max(a, b)] = min(a, b)
+                    out.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
 
@@ -142,8 +165,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     come from alternating stars. Where a bucket still holds members of several
     components besides its smallest id, those members are compared with each
     other by signature, in tiles of ``tile`` by ``tile``, and likely pairs of
-    different components exactly; so no pair that shares a bucket is left out
-    and none is listed that is already connected.
+    different components exactly, within the tile, which returns only links that
+    join components; so no pair that shares a bucket is left out and no list of
+    pairs is made.
 
     Returns ``doc_id, n_shingles, component_id, kept`` and ``class_id`` (the
     smallest id with the same set). A text without words (or null) is linked
@@ -165,17 +189,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     buckets = cut(keyed.join(shared, "key").where(F.col("node") != F.col("center")))
     pairs = buckets.select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
 
-    def linked(pairs: DataFrame, signed: bool) -> DataFrame:
-        if not signed:
-            left = full.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
-            right = full.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
-            pairs = cut(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_likely(likely_least), "a long, b long").distinct())
-        needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        texts = full.select("id", "body").join(needed, "id", "left_semi")
-        both = pairs.join(texts.select(F.col("id").alias("a"), F.col("body").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("body").alias("tb")), "b")
-        return cut(both.select("a", "b", "ta", "tb").mapInArrow(_confirmed(shingle, percent), "a long, b long").distinct())
-
-    edges = linked(pairs, signed=False)
+    left = full.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
+    right = full.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
+    pairs = cut(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_likely(likely_least), "a long, b long").distinct())
+    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    texts = full.select("id", "body").join(needed, "id", "left_semi")
+    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("body").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("body").alias("tb")), "b")
+    edges = cut(both.select("a", "b", "ta", "tb").mapInArrow(_confirmed(shingle, percent), "a long, b long").distinct())
     found = cut(connected_components(edges))
     placed = buckets.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     open_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where(F.col("lo") != F.col("hi")).select("key", "members")
@@ -184,10 +204,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
         own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
         rest = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         rest = rest.select("key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-        rest = rest.join(full.select(F.col("id").alias("node"), "signature").dropDuplicates(["node"]), "node")
-        more = cut(rest.groupBy("key", "i", "j").applyInArrow(_tile_pairs(likely_least), "a long, b long").distinct())
-        edges = cut(edges.unionByName(linked(more, signed=True)).distinct())
-        found = cut(connected_components(edges))
+        shared_keys = rest.where(F.col("i") == F.col("j")).groupBy("node").agg(F.collect_list("key").alias("keys"))  # as many as bands at most
+        content = full.select(F.col("id").alias("node"), "signature", "body").join(shared_keys, "node").dropDuplicates(["node"])
+        more = cut(rest.join(content, "node").groupBy("key", "i", "j").applyInArrow(_tile_links(likely_least, shingle, percent), "a long, b long").distinct())
+        edges = edges.unionByName(more)
+        if not more.isEmpty():
+            found = cut(connected_components(edges))
     # Rows with one id and different sets are one node: their classes are linked through it.
     doubled = member.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where(F.col("lo") != F.col("hi"))
     if not doubled.isEmpty():
