@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mentionmill.llm.common import LAST, cut, ship
 
@@ -122,8 +122,21 @@ def pack(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = 2_000_0
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     blocks = rows.mapInArrow(packed, BLOCK)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(blocks.repartition(parts, "block"))
+    return _placed(blocks, docs.sparkSession)
+
+
+def _placed(blocks: DataFrame, spark: SparkSession) -> DataFrame:
+    """Blocks hash-partitioned and checkpointed such that Spark still knows the partitioning.
+
+    An adaptive plan forgets it, and each join of answers would then shuffle the
+    texts again; so this one plan is not adaptive.
+    """
+    parts, before = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(blocks.repartition(parts, "block"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 def read_block(row: dict) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
