@@ -40,7 +40,14 @@ class Features:
 
 
 def without_copies(features: list[np.ndarray], bands: int = 10, rows: int = 3) -> np.ndarray:
-    """Rows that share no MinHash band with an earlier one: copies and near copies would make any of their words telling."""
+    """Rows that share no MinHash band with an earlier one: copies and near copies would make any of their words telling.
+
+    Features of more than a twentieth of the rows say nothing about copies and
+    are left out, unless a row has no others.
+    """
+    ids, n = np.unique(np.concatenate(features) if features else np.zeros(0, np.int64), return_counts=True)
+    common = ids[n > max(2, len(features) / 20)]
+    features = [rare if len(rare := f[~np.isin(f, common)]) else f for f in features]
     factors = (np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     seen, out = set(), []
     for k, f in enumerate(features):
