@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -13,23 +15,41 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from mentionmill.llm.common import cut, ship
 
-TAIL = b".,;:!?"
+#: Texts of ASCII and the letters of Latin-1 are split here; others are left to the tokenizer.
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
+#: The parts of a tokenizer's definition that make the split above equal to its own.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level models write for each byte: printable ones themselves, the others from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
 class WordTokens:
-    """Token ids of texts, word by word, with the words' ids held.
+    """Token ids of texts, piece by piece, with the pieces' ids held.
 
-    White space always ends a token, so a text's ids are its words' ids in
-    order. Trailing stops are looked up apart from a word that ends in an ASCII
-    letter or digit, where a token always ends. Holds ``most`` words at most.
+    A tokenizer that lowers text and splits it into runs of letters, digits and
+    runs of other signs has the ids of a text in those of its pieces, which are
+    found here for plain texts and looked up in the model once each. Other
+    texts, and other tokenizers, go to the tokenizer itself, word by word where
+    white space ends tokens. Holds ``most`` pieces at most.
     """
 
     own: dict[str, WordTokens] = {}
 
-    def __init__(self, definition: str, most: int = 600_000):
+    def __init__(self, definition: str, most: int = 900_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.held, self.most = Tokenizer.from_str(definition), {}, most
+        self.tokenizer, self.held, self.words, self.most = Tokenizer.from_str(definition), {}, {}, most
+        read = json.loads(definition)
+        steps = [[x["type"] for x in (read.get(k) or {}).get(many, [])] for k, many in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.split = tuple(steps) == STEPS and read["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": SPLIT}
+        self.letters = _byte_letters()
 
     @classmethod
     def of(cls, definition: str) -> WordTokens:
@@ -38,36 +58,39 @@ class WordTokens:
             cls.own[key] = cls(definition)
         return cls.own[key]
 
-    def _learn(self, words: set[bytes]) -> None:
-        parts: dict[bytes, list[bytes]] = {}
-        for w in words:
-            core = w.rstrip(TAIL)
-            if core != w and core[-1:].isalnum():
-                parts[w] = [core, w[len(core) :]]
-        simple = {}
-        needed = list(dict.fromkeys([w for w in words if w not in parts] + [p for x in parts.values() for p in x]))
-        for w in needed:  # the tokenizer lowers letters itself; alike words are encoded once
-            simple[w] = w.lower() if w.isascii() and b"<|" not in w else w
-        new = [w for w in dict.fromkeys(simple.values()) if w not in self.held]
-        for w, e in zip(new, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-            self.held[w] = np.array(e.ids, "<u4").tobytes()
-        for w in needed:
-            self.held[w] = self.held[simple[w]]
-        for w, x in parts.items():
-            self.held[w] = b"".join(self.held[p] for p in x)
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+    def _piece(self, piece: str) -> bytes:
+        written = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
+        return np.array([t.id for t in self.tokenizer.model.tokenize(written)], "<u4").tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        if not self.split:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        words = text.encode().split()  # at ASCII white space
+        unknown = list({w for w in words if w not in self.words})
+        if len(self.words) + len(unknown) > self.most:
+            self.words.clear()
+            unknown = list(set(words))
+        for w, e in zip(unknown, self.tokenizer.encode_batch([w.decode() for w in unknown], add_special_tokens=False), strict=True):
+            self.words[w] = np.array(e.ids, "<u4").tobytes()
+        return b"".join(map(self.words.__getitem__, words))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        for at in range(0, len(texts), 64):
-            words = [t.split() for t in texts[at : at + 64]]
-            unknown = {w for ws in words for w in ws if w not in self.held}
-            if unknown:
+        for text in texts:
+            if not self.split or "<|" in text or not PLAIN.fullmatch(text):
+                yield self._whole(text)
+                continue
+            pieces = PIECE.findall(text.lower())
+            try:
+                yield b"".join(map(self.held.__getitem__, pieces))
+            except KeyError:
+                unknown = {p for p in pieces if p not in self.held}
                 if len(self.held) + len(unknown) > self.most:
                     self.held.clear()
-                    unknown = {w for ws in words for w in ws}
-                self._learn(unknown)
-            for ws in words:
-                yield b"".join(map(self.held.__getitem__, ws))
+                    unknown = set(pieces)
+                for p in unknown:
+                    self.held[p] = self._piece(p)
+                yield b"".join(map(self.held.__getitem__, pieces))
 
 
 def reduce_instance(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -191,7 +214,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, e
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens.of(definition)
         for batch in batches:
-            texts, out = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], []
+            texts, out = [t or "" for t in batch.column(1).to_pylist()], []
             for i, ids in zip(batch.column(0).to_pylist(), words.encode(texts), strict=True):
                 ids += last
                 for p, at in enumerate(range(0, len(ids), 4 * capacity)):
