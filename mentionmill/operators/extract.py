@@ -125,16 +125,23 @@ def entity_lists(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("paper_id", "category").agg(F.array_join(F.array_sort(F.collect_set("entity")), ", ").alias("entities"))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding", block: int = 1000) -> DataFrame:
     """The ``k`` nearest vectors by cosine to each of a stated set of query vectors, compared in blocks.
 
-    Each task compares its block of vectors with all queries and keeps the best
-    ``k`` a query, so that no more than ``k`` rows a block and query are shuffled.
+    The queries go out ``block`` at a time, so that what is broadcast has a
+    bound; each task compares its vectors with a block and keeps the best ``k``
+    a query, so that no more than ``k`` rows a query and task are shuffled.
     """
     q = queries.select(F.col(id_col).alias("query"), F.col(vector).alias("_q"))
+    blocks = max(1, -(-q.count() // block))
     dot = F.aggregate(F.zip_with("_q", vector, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
     norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    scored = vectors.select(id_col, vector).join(F.broadcast(q.limit(10_000))).where(F.col(id_col) != F.col("query"))
-    scored = scored.select("query", id_col, (dot / (norm("_q") * norm(vector))).alias("cosine"), F.spark_partition_id().alias("_block"))
-    first = scored.withColumn("_n", F.row_number().over(Window.partitionBy("query", "_block").orderBy(F.desc("cosine"), id_col))).where(F.col("_n") <= k)
-    return first.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cosine"), id_col))).where(F.col("rank") <= k).select("query", id_col, "rank", "cosine")
+    best = Window.partitionBy("query", "_task").orderBy(F.desc("cosine"), id_col)
+    out = None
+    for b in range(blocks):
+        part = F.broadcast(q.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b))
+        scored = vectors.select(id_col, vector).join(part).where(F.col(id_col) != F.col("query"))
+        scored = scored.select("query", id_col, (dot / (norm("_q") * norm(vector))).alias("cosine"), F.spark_partition_id().alias("_task"))
+        first = scored.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
+        out = first if out is None else out.unionByName(first)
+    return out.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cosine"), id_col))).where(F.col("rank") <= k).select("query", id_col, "rank", "cosine")
