@@ -20,7 +20,7 @@ GRADES = 4  # none, mild, strong, severe
 class Features:
     """Hashed features of a text: each distinct word and its beginnings of three to eight letters; of those in ``only`` if that is given."""
 
-    def __init__(self, only: np.ndarray | None = None, most: int = 300_000):
+    def __init__(self, only: np.ndarray | None = None, most: int = 100_000):
         self.words: dict[str, tuple[int, ...]] = {}
         self.only, self.most = None if only is None else frozenset(only.tolist()), most
 
@@ -36,7 +36,15 @@ class Features:
 
     def of(self, text: str) -> np.ndarray:
         ids = {i for w in set(WORD.findall(text.lower())) for i in self.of_word(w)}
-        return np.fromiter(ids, np.int64, len(ids))
+        return np.fromiter(ids, np.uint32, len(ids))
+
+
+def _rows_with(features: list[np.ndarray]) -> np.ndarray:
+    """How many rows have each feature."""
+    n = np.zeros(1 << BITS, np.int32)
+    for f in features:
+        n[f] += 1  # a row has a feature once
+    return n
 
 
 def without_copies(features: list[np.ndarray], bands: int = 10, rows: int = 3) -> np.ndarray:
@@ -45,12 +53,11 @@ def without_copies(features: list[np.ndarray], bands: int = 10, rows: int = 3) -
     Features of more than a twentieth of the rows say nothing about copies and
     are left out, unless a row has no others.
     """
-    ids, n = np.unique(np.concatenate(features) if features else np.zeros(0, np.int64), return_counts=True)
-    common = ids[n > max(2, len(features) / 20)]
-    features = [rare if len(rare := f[~np.isin(f, common)]) else f for f in features]
+    common = _rows_with(features) > max(2, len(features) / 20)
     factors = (np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     seen, out = set(), []
     for k, f in enumerate(features):
+        f = rare if len(rare := f[~common[f]]) else f
         least = (np.multiply.outer(factors, f.astype(np.uint64) + np.uint64(1)).min(axis=1) if len(f) else np.zeros(bands * rows, np.uint64)).reshape(bands, rows)
         keys = {(j, band.tobytes()) for j, band in enumerate(least)}
         if seen.isdisjoint(keys):
@@ -61,12 +68,10 @@ def without_copies(features: list[np.ndarray], bands: int = 10, rows: int = 3) -
 
 def telling(features: list[np.ndarray], toxic: np.ndarray, least: float = 6.5, purity: float = 0.75) -> np.ndarray:
     """Features that toxic rows have ``least`` standard deviations more often than chance allows, and clean rows hardly ever."""
-    flat = np.concatenate(features) if features else np.zeros(0, np.int64)
-    ids, place, n = np.unique(flat, return_inverse=True, return_counts=True)
-    bad = np.bincount(place, weights=np.repeat(toxic, [len(f) for f in features]), minlength=len(ids))
+    n, bad = _rows_with(features), _rows_with([f for f, t in zip(features, toxic, strict=True) if t])
     share = toxic.mean() if len(toxic) else 0.0
     spread = np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
-    return ids[(bad - n * share > least * spread) & (bad >= purity * n)]
+    return np.flatnonzero((bad - n * share > least * spread) & (bad >= purity * n))
 
 
 def grades(texts: list[str], toxic: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -117,7 +122,7 @@ def fit(features: list[np.ndarray], y: np.ndarray, ids: np.ndarray, ridge: float
     return ids, params[: len(ids)], params[-3] + np.concatenate([[0], np.cumsum(np.exp(params[-2:]))])
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def fit_on(docs: DataFrame, labels: DataFrame, max_rows: int = 15_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fit on labelled documents, at most ``max_rows`` of them, chosen by the hash of their ids."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
