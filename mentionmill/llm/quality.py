@@ -37,7 +37,9 @@ def text_measures(docs: DataFrame, text_col: str = "text", span: int = 5) -> Dat
     out = out.withColumn("_places", F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull())))))
     gaps = F.zip_with(body("_places", 1), body("_places", 2), lambda a, b: F.least(b - a, F.lit(span)))
     covered = F.aggregate(gaps, F.lit(0), lambda s, x: s + x) + span
-    return out.withColumn("n_repeat_words", F.coalesce(F.when(F.size("_places") > 0, covered), F.lit(0)).cast("long")).drop("_words", "_lines", "_grams", "_sorted", "_places")
+    measures = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(F.when(F.size("_places") > 0, covered), F.lit(0)).cast("long").alias("n_repeat_words"))
+    # A row for a row: filters on the measures stay above it, and the steps before are not copied into them.
+    return out.select(*docs.columns, F.inline(F.array(measures)))
 
 
 def base_failed() -> Column:
