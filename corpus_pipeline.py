@@ -16,8 +16,10 @@ from mentionmill.llm.common import ensure_checkpoint_dir, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return quality.quality_rules(docs).where("kept").select(*docs.columns)
+    """Boilerplate lines of a host go, and documents that the quality rules reject. ``n_chars`` follows the text."""
+    told = quality.quality_rules(docs).where("kept")
+    changed = F.when(F.col("boilerplate_chars") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return told.select(*[changed.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,7 +66,7 @@ def frequent_host_lines(docs: DataFrame, min_docs: int = 10, max_share: float =
 
 
 def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.05, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Judge every document: its columns, the measures, ``base_failed``, ``line_chars``, ``boilerplate_chars`` and ``kept``.
+    """Clean and judge every document: its columns, the text without boilerplate lines, the measures, ``base_failed``, ``line_chars``, ``boilerplate_chars`` and ``kept``.
 
     A line is boilerplate on a host when more than ``min_docs`` and more than
     ``max_share`` of the host's distinct documents carry it (compared by hash,
@@ -74,6 +74,9 @@ def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.05,
     boilerplate makes up more than half of the characters of its distinct lines.
     ``kept`` is false for depleted documents and those that fail the base rules
     (fewer than 10 words, or over 20 % of them in repeated 5-word windows).
+    Measures and verdict are those of the text as it came; every boilerplate line
+    then leaves the text that is returned, each time it occurs, and blank lines
+    stay. A text without boilerplate is returned unchanged.
 
     Texts are not shuffled for the counts: line hashes are counted per host with
     partial sums, so a hot host or line costs one row per map task. A null text
@@ -82,7 +85,7 @@ def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.05,
     """
     common = cut(frequent_host_lines(docs, min_docs, max_share, id_col, text_col, host_col))
     hits = _host_lines(docs, id_col, text_col, host_col).join(common, ["host", "h1", "h2"]).dropDuplicates(["id", "th", "host", "h1", "h2"])
-    hits = hits.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("host").alias("_host")).agg(F.sum("chars").alias("_hit"))
+    hits = hits.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("host").alias("_host")).agg(F.sum("chars").alias("_hit"), F.collect_list(F.struct("h1", "h2")).alias("_lost"))
     own = [c for c in docs.columns if c not in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "line_chars", "boilerplate_chars", "kept")]
     distinct = F.array_distinct(F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), trimmed))
     told = text_measures(docs.select(*own), text_col)
@@ -90,8 +93,10 @@ def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.05,
     told = told.withColumns({"_th1": F.xxhash64(text_col), "_host1": F.coalesce(F.col(host_col).cast("string"), F.lit(""))})
     on = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_th1") == F.col("_th")) & (F.col("_host1") == F.col("_host"))
     out = told.join(hits, on, "left").withColumns({"base_failed": base_failed(), "boilerplate_chars": F.coalesce(F.col("_hit"), F.lit(0))})
+    stays = lambda x: ~F.array_contains("_lost", F.struct(F.xxhash64(trimmed(x)).alias("h1"), F.hash(trimmed(x)).alias("h2")))
+    cleaned = F.when(F.col("_lost").isNotNull(), F.array_join(F.filter(F.split(F.col(text_col), "\n"), stays), "\n")).otherwise(F.col(text_col))
     return out.withColumn("kept", ~F.col("base_failed") & (2 * F.col("boilerplate_chars") <= F.col("line_chars"))).select(
-        *own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "line_chars", "boilerplate_chars", "kept"
+        *[cleaned.alias(c) if c == text_col else F.col(c) for c in own], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "line_chars", "boilerplate_chars", "kept"
     )
 
 

@@ -36,6 +36,21 @@ def test_quality_verdicts(make):
     assert quality.quality_rules(make([])).count() == 0
 
 
+def test_quality_removes_host_lines(spark, make):
+    import corpus_pipeline
+
+    own = lambda k: " ".join(f"word{k}x{j}" for j in range(12))
+    footer = "all rights reserved"
+    rows = [(k, f"{own(k)}\n {footer}\t\n\n{own(k + 1000)}\n{footer}", "h") for k in range(20)]
+    rows += [(50, f"{own(50)}\n{footer}", "other"), (51, f" {own(51)}\n\n", "h"), (52, None, "h"), (None, f"{own(53)}\n{footer}", "h"), (3, f"{own(54)}\nand more", "h")]
+    out = quality.quality_rules(make(rows))
+    want = [(k, f"{own(k)}\n\n{own(k + 1000)}", True) for k in range(20)]
+    want += [(50, rows[20][1], True), (51, rows[21][1], True), (52, None, False), (None, own(53), True), (3, rows[24][1], True)]
+    assert sorted(((r.doc_id, r.text, r.kept) for r in out.collect()), key=str) == sorted(want, key=str)
+    staged = corpus_pipeline.quality_stage(spark, make(rows), "").collect()
+    assert sorted(((r.doc_id, r.text, r.n_chars) for r in staged), key=str) == sorted(((k, t, len(t)) for k, t, kept in want if kept), key=str)
+
+
 def test_shards(make):
     rows = [(k, f"text {k % 50}", "hot" if k % 3 else f"s{k % 7}") for k in range(1003)] + [(None, None, None), (5, "text 5", "hot"), (5, "text 5", "hot")]
     docs = make(rows)
