@@ -92,27 +92,39 @@ def not_yet(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 @F.pandas_udf(IntegerType())
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Similarity of two strings in percent: twice the matching characters over all characters."""
-    return pd.Series([round(100 * SequenceMatcher(None, x or "", y or "", autojunk=False).ratio()) for x, y in zip(a, b, strict=True)])
+def indel_ratio(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
+    """Similarity of two strings in percent: twice the matching characters over all characters; 0 where the characters they share cannot make ``least``."""
+
+    def ratio(x: str, y: str, low: int) -> int:
+        pair = SequenceMatcher(None, x or "", y or "", autojunk=False)
+        return round(100 * pair.ratio()) if round(100 * pair.quick_ratio()) >= low else 0
+
+    return pd.Series([ratio(x, y, low) for x, y, low in zip(a, b, least, strict=True)])
 
 
 def normalise_names(found: DataFrame, dictionary: DataFrame, key: str, least: int = 86) -> DataFrame:
-    """``key, entity, name, how``: entities mapped to dictionary names exactly, by a word that is a name, or by the likest name.
+    """``key, entity, name, how``: entities mapped to upper-cased dictionary names exactly, by each word that is a name, or by the likest name.
 
-    The likest is looked for among names of like length and the same first
-    letter, for entities that the first two ways leave over.
+    The likest is looked for in the whole dictionary, for entities that the
+    first two ways leave over. A similarity of ``least`` bounds the lengths of
+    the names that can reach it, and the characters they share, so that only
+    names that cannot reach it go unscored. Each distinct entity is scored once.
     """
-    names = dictionary.select("name").distinct()
-    exact = found.join(names, found["entity"] == names["name"]).select(key, "entity", "name", F.lit("exact").alias("how"))
-    rest = found.join(exact, [key, "entity"], "left_anti")
-    words = rest.select(key, "entity", F.explode(F.split(F.regexp_replace("entity", r"[\[\](),-]", " "), r"\s+")).alias("name"))
-    by_word = words.join(names, "name").groupBy(key, "entity").agg(F.min("name").alias("name")).withColumn("how", F.lit("word"))
-    rest = rest.join(by_word, [key, "entity"], "left_anti").select(key, "entity", F.substring("entity", 1, 1).alias("head"), F.length("entity").alias("size"))
-    near = names.select("name", F.substring("name", 1, 1).alias("head"), F.length("name").alias("long"))
-    near = rest.join(near, "head").where(F.abs(F.col("size") - F.col("long")) <= 3).withColumn("ratio", indel_ratio("entity", "name")).where(F.col("ratio") >= least)
-    near = near.groupBy(key, "entity").agg(F.max_by("name", F.struct("ratio", "name")).alias("name")).withColumn("how", F.lit("near"))
-    return exact.unionByName(by_word.select(key, "entity", "name", "how")).unionByName(near.select(key, "entity", "name", "how"))
+    names = dictionary.select(F.upper("name").alias("name")).distinct()
+    found = found.select(key, "entity", F.upper("entity").alias("_upper"))
+    exact = found.join(names, found["_upper"] == names["name"]).select(key, "entity", "name", F.lit("exact").alias("how"))
+    rest = found.join(exact.select(key, "entity"), [key, "entity"], "left_anti")
+    words = rest.select(key, "entity", F.explode(F.split(F.regexp_replace("_upper", r"[\[\](),-]", " "), r"\s+")).alias("name"))
+    by_word = words.where("name <> ''").join(names, "name").select(key, "entity", "name").distinct().withColumn("how", F.lit("word"))
+    rest = rest.join(by_word.select(key, "entity"), [key, "entity"], "left_anti").distinct()
+    share = (least - 0.5) / 100
+    size = F.length("_upper")
+    long = F.sequence(F.ceil(size * (share / (2 - share)) - 1e-6).cast("int"), F.floor(size * ((2 - share) / share) + 1e-6).cast("int"))
+    near = rest.select("_upper").distinct().withColumn("long", F.explode(long)).join(names.withColumn("long", F.length("name")), "long")
+    near = near.withColumn("ratio", indel_ratio("_upper", "name", F.lit(least))).where(F.col("ratio") >= least)
+    near = near.groupBy("_upper").agg(F.max_by("name", F.struct("ratio", "name")).alias("name"))
+    near = rest.join(near, "_upper").select(key, "entity", "name", F.lit("near").alias("how"))
+    return exact.unionByName(by_word).unionByName(near)
 
 
 def candidate_pairs(mentions: DataFrame, left: str = "Variant", right: str = "Treatment") -> DataFrame:

@@ -98,6 +98,36 @@ def test_piece_merge_and_names(spark):
     assert {(r.k, r.name, r.how) for r in extract.normalise_names(found, names, "k").collect()} == {(1, "BRAF", "exact"), (2, "MET", "word"), (3, "KRAS", "near")}
 
 
+def test_names_equal_brute_force(spark):
+    import random
+    import re
+    from difflib import SequenceMatcher
+
+    draw = random.Random(7)
+    word = lambda low, high: "".join(draw.choice("ABcd1") for _ in range(draw.randint(low, high)))
+    names = ["BRAF", "KRAS", "EGFR", "CTNNB1", "estrogen receptor alpha gene", "Egfr", None] + [word(4, 12) for _ in range(120)]
+    entities = ["kras", "-BRAF", "pEGFR", "cCTNNB1", "the estrogen receptor alpha gene", "BRAF, KRAS", "zzz", "", None, "(x) [BRAF]", "é"] + [word(3, 16) for _ in range(150)]
+    for n in names[7:60]:
+        at = draw.randrange(len(n))
+        entities += [word(1, 1) + n, n[:at] + "x" + n[at:], n[:at] + n[at + 1 :]]
+    rows = [(k, e) for k, e in enumerate(entities)] + [(0, "BRAF, KRAS"), (0, "pEGFR"), (0, "pEGFR")]
+    full, want = {n.upper() for n in names if n}, set()
+    for k, e in rows:
+        up = (e or "").upper()
+        words = {w for w in re.sub(r"[\[\](),-]", " ", up).split() if w in full}
+        if up in full:
+            want.add((k, e, up, "exact"))
+        elif words:
+            want |= {(k, e, w, "word") for w in words}
+        elif up:
+            score, best = max((round(100 * SequenceMatcher(None, up, n, autojunk=False).ratio()), n) for n in full)
+            want |= {(k, e, best, "near")} if score > 85 else set()
+    found = spark.createDataFrame(rows, "k int, entity string")
+    got = [tuple(r) for r in extract.normalise_names(found, spark.createDataFrame([(n,) for n in names], "name string"), "k").collect()]
+    assert set(got) == want and {(0, "kras", "KRAS", "exact"), (0, "BRAF, KRAS", "KRAS", "word"), (0, "pEGFR", "EGFR", "near")} <= want
+    assert len([x for x in got if x[3] != "exact"]) == len({x for x in got if x[3] != "exact"})
+
+
 def test_cooccurrence_weights(spark):
     m = spark.createDataFrame([(1, "T", "t"), (1, "V", "v"), (2, "T", "t"), (3, "T", "u"), (3, "V", "v")], "paper_id int, category string, entity string")
     s = cooc.with_weight(spark.createDataFrame([(1, "Clinical study"), (2, "Undefined"), (3, "?")], "paper_id int, design string"), V.MATRIX_WEIGHTS)
