@@ -111,15 +111,14 @@ def network_query(edge: DataFrame, vertex: DataFrame, consensus: DataFrame, canc
     return ranked.select("section", "name", "rank", "weight", ((F.col("weight") >= F.col("cut")) & (F.col("weight") >= F.col("least"))).alias("highlight"))
 
 
-def parents_of(spark: SparkSession, is_a: DataFrame, depth: int = 20) -> DataFrame:
-    """``id, parent, depth``: the chain of first parents, ended by a cycle or the root."""
+def parents_of(spark: SparkSession, is_a: DataFrame) -> DataFrame:
+    """``id, parent, depth``: the chain of first parents, of any length, ended by a cycle or the root."""
     first = is_a.groupBy(F.col("child").alias("c")).agg(F.min_by("parent", "ord").alias("p"))
     found = first.select(F.col("c").alias("id"), F.col("p").alias("parent"), F.lit(1).alias("depth"), F.array("c", "p").alias("seen"))
     out, level = found, found
-    for _ in range(depth):
+    while True:
         level = level.join(first, level["parent"] == first["c"]).where(~F.array_contains("seen", F.col("p")))
         level = _checkpointed(level.select("id", F.col("p").alias("parent"), (F.col("depth") + 1).alias("depth"), F.concat("seen", F.array("p")).alias("seen")))
         if level.isEmpty():
-            break
+            return out.drop("seen")
         out = out.unionByName(level)
-    return out.drop("seen")

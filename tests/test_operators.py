@@ -169,6 +169,12 @@ def test_graph(spark):
     assert {r.weight for r in graph.edges(m, s, ordered=True).collect()} == {3.0, 1.0}
 
 
+def test_parents_of_deep_chains(spark):
+    is_a = spark.createDataFrame([(f"n{k}", f"n{k + 1}", 1) for k in range(30)] + [("n0", "other", 2), ("a", "b", 1), ("b", "a", 1)], "child string, parent string, ord int")
+    want = {(f"n{k}", f"n{m}", m - k) for k in range(30) for m in range(k + 1, 31)} | {("a", "b", 1), ("b", "a", 1)}
+    assert sorted((r.id, r.parent, r.depth) for r in graph.parents_of(spark, is_a).collect()) == sorted(want)
+
+
 def test_network_query(spark):
     edge = spark.createDataFrame([("c", "t", 1, 400.0), ("t", "v", 1, 10.0), ("c", "v", 1, 90.0), ("c2", "v", 1, 100.0), ("c", "chemotherapy", 1, 999.0), ("c", "TRK inhibitor", 1, 999.0)], "src string, dst string, papers int, weight double")
     vertex = spark.createDataFrame([("c", "Cancer"), ("c2", "Cancer"), ("v", "Variant"), ("t", "Treatment"), ("chemotherapy", "Treatment"), ("TRK inhibitor", "Treatment")], "id string, category string")
