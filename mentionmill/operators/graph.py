@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mentionmill import fixed_values as V
+from mentionmill.runtime import cut
 
 PRIORITY = {"Variant": 1, "Cancer": 2, "Treatment": 3, "Gene": 4}
 
@@ -41,24 +42,15 @@ def degree(vertex: DataFrame, edge: DataFrame) -> DataFrame:
     return out.select("id", degree.alias("degree"), F.coalesce(F.try_divide(degree, F.col("_n") - 1), F.lit(0.0)).alias("centrality"))
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="mentionmill-"))
-    return df.checkpoint(eager=True)
-
-
 def components(edge: DataFrame) -> DataFrame:
     """``id, component``: the smallest name reachable, by smallest labels and jumps to the label's own label until nothing changes."""
-    both = _checkpointed(symmetric(edge).select("src", "dst"))
-    label = _checkpointed(both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.col("src")).alias("component")))
+    both = cut(symmetric(edge).select("src", "dst"))
+    label = cut(both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.col("src")).alias("component")))
     while True:
         near = both.join(label, both["dst"] == label["id"]).groupBy("src").agg(F.min("component").alias("m"))
         new = label.join(near, label["id"] == near["src"]).select("id", F.least("component", "m").alias("c"))
         jump = new.select(F.col("id").alias("j"), F.col("c").alias("next"))
-        new = _checkpointed(new.join(jump, new["c"] == jump["j"]).select("id", F.least("c", "next").alias("component")))
+        new = cut(new.join(jump, new["c"] == jump["j"]).select("id", F.least("c", "next").alias("component")))
         changed = new.join(label.withColumnRenamed("component", "old"), "id").where("component <> old").isEmpty()
         label = new
         if changed:
@@ -118,7 +110,7 @@ def parents_of(spark: SparkSession, is_a: DataFrame) -> DataFrame:
     out, level = found, found
     while True:
         level = level.join(first, level["parent"] == first["c"]).where(~F.array_contains("seen", F.col("p")))
-        level = _checkpointed(level.select("id", F.col("p").alias("parent"), (F.col("depth") + 1).alias("depth"), F.concat("seen", F.array("p")).alias("seen")))
+        level = cut(level.select("id", F.col("p").alias("parent"), (F.col("depth") + 1).alias("depth"), F.concat("seen", F.array("p")).alias("seen")))
         if level.isEmpty():
             return out.drop("seen")
         out = out.unionByName(level)

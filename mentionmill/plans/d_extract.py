@@ -145,7 +145,7 @@ def _shout(prompts: list[str]) -> list[str]:
 
 @query("D15_model_calls", "SELECT event_id, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE upper(event_type) END AS response FROM events")
 def d15(spark, d):
-    from mentionmill.plans.shipping import ship
+    from mentionmill.runtime import ship
 
     ship(spark)
     return X.call_model(table(spark, d, "events").select("event_id", F.col("event_type").alias("prompt")), _shout).drop("prompt")
@@ -153,7 +153,7 @@ def d15(spark, d):
 
 @query("D16_closed_classes", "SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN upper(event_type) ELSE 'Undefined' END AS category FROM events")
 def d16(spark, d):
-    from mentionmill.plans.shipping import ship
+    from mentionmill.runtime import ship
 
     ship(spark)
     return X.classify(table(spark, d, "events").select("event_id", F.col("event_type").alias("text")), _shout, ["CLICK", "VIEW"]).drop("text")

@@ -50,7 +50,7 @@ def j03(spark, d):
 
 @query("J04_fisher_reference")
 def j04(spark, d):
-    from mentionmill.plans.shipping import ship
+    from mentionmill.runtime import ship
 
     ship(spark)
     return S.fisher_reference(cells(spark, d)).select("a", "b", "raw", "p")
@@ -58,7 +58,7 @@ def j04(spark, d):
 
 @query("J04_fisher_margins")
 def j04m(spark, d):
-    from mentionmill.plans.shipping import ship
+    from mentionmill.runtime import ship
 
     ship(spark)
     m = mention(spark, d)
