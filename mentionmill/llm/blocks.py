@@ -11,6 +11,7 @@ documents hold is one entry a block, so no shard or task is hot.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionmill.llm.common import LAST, cut, ship
+from mentionmill.llm.common import LAST, cut, give_back, ship, tidy
 
 U = np.uint64
 BLOCK = "block long, ids array<long>, lens array<long>, n_bytes long, body binary"
@@ -64,6 +65,31 @@ class Rolling:
         return (self.sums[q:] - self.sums[:n]) * self.inverse[:n] if n > 0 else np.zeros(0, U)
 
 
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], dtype=U)
+
+
+def word_hashes(buffer: np.ndarray, begin: np.ndarray, end: np.ndarray, family: int) -> np.ndarray:
+    """64-bit names of the byte ranges: their lanes of 8 bytes, each scrambled into the last, so that no pattern of letters cancels.
+
+    Ranges of over 64 bytes are few and are named by BLAKE2.
+    """
+    padded = np.concatenate([buffer, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(buffer) + 1,), "<u8", padded, strides=(1,))
+    size = end - begin
+    state = mix(size.astype(U) * U(0x9E3779B97F4A7C15) + U(family + 1))
+    live = np.flatnonzero((size > 0) & (size <= 64))
+    done = 0
+    while len(live):
+        left = size[live] - done
+        state[live] = mix(state[live] ^ (lanes[begin[live] + done] & MASKS[np.minimum(left, 8)])) + U(0xD6E8FEB86659FD93)
+        done += 8
+        live = live[left > 8]
+    for k in np.flatnonzero(size > 64).tolist():
+        name = hashlib.blake2b(buffer[begin[k] : end[k]].tobytes(), digest_size=8, salt=family.to_bytes(8, "little")).digest()
+        state[k] = U(int.from_bytes(name, "little"))
+    return state
+
+
 def encode(*arrays: np.ndarray) -> bytes:
     """Arrays of one length, by byte planes, compressed."""
     planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays)
@@ -121,7 +147,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = 2_000_0
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    blocks = rows.mapInArrow(packed, BLOCK)
+    blocks = rows.mapInArrow(tidy(packed), BLOCK)
     return _placed(blocks, docs.sparkSession)
 
 
@@ -186,14 +212,15 @@ def ask(blocks: DataFrame, replies: list[DataFrame], step: int, asked: Callable[
 
     def answers(table: pa.Table) -> pa.Table:
         back = answered(table["body"].to_pylist())
+        give_back()
         return pa.table([table["block"], pa.array([step] * len(back), pa.int32()), table["shard"], pa.array(back, pa.binary())], names=["block", "step", "shard", "body"])
 
-    messages = _with_replies(blocks, replies).mapInArrow(asks, MESSAGE)
+    messages = _with_replies(blocks, replies).mapInArrow(tidy(asks, Rolling.powers), MESSAGE)
     return cut(messages.groupBy("shard").applyInArrow(answers, REPLY))
 
 
 def finish(blocks: DataFrame, replies: list[DataFrame], told: Callable[[dict], pa.RecordBatch | None], schema: str) -> DataFrame:
-    return _with_replies(blocks, replies).mapInArrow(lambda batches: _by_row(batches, told), schema)
+    return _with_replies(blocks, replies).mapInArrow(tidy(lambda batches: _by_row(batches, told), Rolling.powers), schema)
 
 
 # Fingerprints found once or more often ----------------------------------------
@@ -246,6 +273,10 @@ def repeated_keys(k1: np.ndarray, k2: np.ndarray, replies: dict, step: int, shar
     return told[place]
 
 
-def shard_bits_for(total: int, each: int) -> int:
-    """So many bits that a shard gets about ``each`` of ``total``."""
-    return max(0, (max(1, -(-total // each)) - 1).bit_length())
+def shard_bits_for(total: int, each: int, tasks: int = 64, most: int = 8) -> int:
+    """So many bits that a shard gets about ``each`` of ``total``; up to ``most`` times as much once there are ``tasks`` shards.
+
+    Every block has a message for every shard, so large inputs get large shards.
+    """
+    shards = -(-total // each)
+    return max(0, (max(1, min(shards, max(tasks, -(-shards // most)))) - 1).bit_length())

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from mentionmill.runtime import Scratch, cut, shared_folder, ship
+
+__all__ = ["LAST", "SEPARATORS", "WORD", "Scratch", "apart", "ascii_lower", "cut", "order_id", "shared_folder", "ship", "table", "tidy", "trimmed"]
+
 #: Separators of the contracts' words: space and the ASCII controls from tab to carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,37 +20,42 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LAST = 9223372036854775807
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``; set one only where none is set (tests, local runs)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="mentionmill-"))
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *caches: dict) -> Callable:
+    """``run`` for one task, after which its Python worker gives memory back.
+
+    Workers are used again by later stages of the same application, and several
+    wait beside each executor: what one keeps, all later stages pay for.
+    """
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for c in caches:
+                c.clear()
+            give_back()
 
-def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the Python workers, once for a Spark context."""
-    context = spark.sparkContext
-    if getattr(context, "_mentionmill_shipped", False):
-        return
-    top = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="mentionmill-")) / "mentionmill.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, p.relative_to(top.parent))
-    context.addPyFile(str(archive))
-    context._mentionmill_shipped = True
+    return task
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from the files: executors may be lost, work is not repeated."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def apart(df: DataFrame, own: list[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with its columns ``own`` inside one struct, out of the way of inner names, and those columns taken out of it again."""
+    return df.withColumn("__own", F.struct(*[F.col(f"`{c}`") for c in own])), [F.col("__own")[c].alias(c) for c in own]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

@@ -9,12 +9,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from mentionmill.llm.blocks import Rolling, mix
-from mentionmill.llm.common import cut, ship
+from mentionmill.llm.blocks import mix, word_hashes
+from mentionmill.llm.common import Scratch, ship, tidy
 from mentionmill.llm.components import connected_components
 
 U = np.uint64
 SIGNATURE = 128
+CENTER_ROWS = 256
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -25,7 +26,7 @@ def shingle_hashes(text: bytes, size: int) -> np.ndarray:
     begin, end = edge[::2], edge[1::2]
     if not len(begin):
         return np.zeros(0, U)
-    words = mix(Rolling(buffer, 2).of(begin, end) + (end - begin).astype(U))
+    words = word_hashes(buffer, begin, end, 2)
     size = min(size, len(words))
     out = np.full(len(words) - size + 1, U(size))
     for i in range(size):
@@ -91,19 +92,58 @@ def _likely(least: float):
 
 
 def _confirmed(size: int, percent: int):
+    """Links of rows with their centre, in one pass over rows sorted by ``center, part``, centres first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
-        last: tuple[int | None, np.ndarray] = (None, np.zeros(0, U))
+        of, sets = None, []
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            keep = []
-            for x, y, tx, ty in zip(a, b, batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
-                if last[0] != y:
-                    last = (y, shingle_hashes(open_.decompress(ty), size))
-                left = shingle_hashes(open_.decompress(tx), size)
-                both = len(np.intersect1d(left, last[1], assume_unique=True))
-                keep.append(100 * both >= percent * (len(left) + len(last[1]) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            out: list[tuple[int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in ("center", "part", "id", "first", "body")]
+            for center, part, node, first, body in zip(*columns, strict=True):
+                if of != (center, part):
+                    of, sets = (center, part), []
+                own = shingle_hashes(open_.decompress(body), size)
+                if first:
+                    sets.append(own)
+                    continue
+                for other in sets:
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    if 100 * both >= percent * (len(own) + len(other) - both):
+                        out.append((node, center))
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _tile(table: pa.Table):
+    """A tile's key, nodes, components, signatures and open keys, and the rows of its two sides."""
+    comp, ids = table["component"].to_numpy(), table["node"].to_pylist()
+    sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+    side, same = table["side"].to_numpy(), table["i"][0].as_py() == table["j"][0].as_py()
+    left = np.arange(len(ids)) if same else np.flatnonzero(side == 0)
+    right = left if same else np.flatnonzero(side == 1)
+    return table["key"][0].as_py(), ids, comp, sig, [frozenset(k) for k in table["keys"].to_pylist()], left, right, same
+
+
+def _partners(x: int, comp: np.ndarray, sig: np.ndarray, right: np.ndarray, same: bool, least: float) -> np.ndarray:
+    """Rows of another component whose signatures agree with row ``x``."""
+    near = right[(comp[right] != comp[x]) & ((right > x) if same else True)]
+    return near[(sig[near] == sig[x]).mean(axis=1) >= least] if len(near) else near
+
+
+def _tile_rows(least: float):
+    """The rows of a tile with a likely partner in it, for which this tile is where the pair is judged."""
+
+    def run(table: pa.Table) -> pa.Table:
+        key, _, comp, sig, keys, left, right, same = _tile(table)
+        wanted = np.zeros(len(comp), bool)
+        for x in left.tolist():
+            for y in _partners(x, comp, sig, right, same, least).tolist():
+                if not (wanted[x] and wanted[y]) and min(keys[x] & keys[y]) == key:
+                    wanted[[x, y]] = True
+        return table.filter(pa.array(wanted))
 
     return run
 
@@ -118,12 +158,8 @@ def _tile_links(least: float, size: int, percent: int):
     """
 
     def run(table: pa.Table) -> pa.Table:
-        key, ids, comp = table["key"][0].as_py(), table["node"].to_pylist(), table["component"].to_numpy()
-        sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-        keys, bodies = [frozenset(k) for k in table["keys"].to_pylist()], table["body"].to_pylist()
-        side, same = table["side"].to_numpy(), table["i"][0].as_py() == table["j"][0].as_py()
-        left = np.arange(len(ids)) if same else np.flatnonzero(side == 0)
-        right = left if same else np.flatnonzero(side == 1)
+        key, ids, comp, sig, keys, left, right, same = _tile(table)
+        bodies = table["body"].to_pylist()
         open_, sets, parent, out = zstandard.ZstdDecompressor(), {}, {c: c for c in comp.tolist()}, []
 
         def root(c: int) -> int:
@@ -137,9 +173,7 @@ def _tile_links(least: float, size: int, percent: int):
             return sets[k]
 
         for x in left.tolist():
-            near = right[(comp[right] != comp[x]) & ((right > x) if same else True)]
-            near = near[(sig[near] == sig[x]).mean(axis=1) >= least] if len(near) else near
-            for y in near.tolist():
+            for y in _partners(x, comp, sig, right, same, least).tolist():
                 a, b = root(int(comp[x])), root(int(comp[y]))
                 if a == b or min(keys[x] & keys[y]) != key:
                     continue
@@ -161,65 +195,78 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     member is a candidate with the bucket's smallest id, so a bucket costs as
     many pairs as it has members. Candidates are checked by signature
     (``SIGNATURE`` minima of one byte; pairs below 0.53, six standard errors
-    under 75 %, are dropped) and then exactly on their full sets. Components
-    come from alternating stars. Where a bucket still holds members of several
-    components besides its smallest id, those members are compared with each
-    other by signature, in tiles of ``tile`` by ``tile``, and likely pairs of
-    different components exactly, within the tile, which returns only links that
-    join components; so no pair that shares a bucket is left out and no list of
-    pairs is made.
-
-    Returns ``doc_id, n_shingles, component_id, kept`` and ``class_id`` (the
-    smallest id with the same set). A text without words (or null) is linked
-    with nothing; a row without an id is linked with nothing, has no component
-    and is kept; rows with one id are one node; an empty table gives an empty
-    result; other columns are ignored.
+    under 75 %, are dropped) and then exactly on their full sets: the texts are
+    read once, and each goes to its centre, whose own text is there once for
+    every ``CENTER_ROWS`` of them, so that a centre of many is spread over tasks.
+    Components come from alternating stars. Where a bucket still holds members of
+    several components besides its smallest id, those members are compared with
+    each other by signature, in tiles of ``tile`` by ``tile``; only rows with a
+    likely partner get their texts and are compared exactly, within the tile,
+    which returns only links that join components; so no pair that shares a
+    bucket is left out and no list of pairs is made.
+
+    Sets are compared by 64-bit names of shingles, from names of words without
+    algebraic structure; two different shingles of a pair are taken for one with
+    probability 5e-20 each. Returns ``doc_id, n_shingles, component_id, kept``
+    and ``class_id`` (the smallest id with the same set). A text without words
+    (or null) is linked with nothing; a row without an id is linked with nothing,
+    has no component and is kept; rows with one id are one node; an empty table
+    gives an empty result; other columns are ignored. Intermediate tables lie in
+    the shared folder and are dropped once nothing reads them.
     """
     ship(docs.sparkSession)
-    likely_least = percent / 100 - 0.22
+    scratch, likely_least = Scratch(docs.sparkSession, "near-dedup"), percent / 100 - 0.22
     told = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    told = cut(told.mapInArrow(_features(shingle, bands, rows, seed), FEATURES))
+    told = scratch.write("features", told.mapInArrow(tidy(_features(shingle, bands, rows, seed)), FEATURES))
     full = told.where((F.col("n") > 0) & F.col("id").isNotNull())
-    classes = full.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
-    member = cut(full.select("id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"]).select("id", "n", "rep").distinct())
-    heads = full.join(member.where(F.col("id") == F.col("rep")).select("id", "n"), ["id", "n"]).dropDuplicates(["id"])
-
-    keyed = heads.select(F.col("id").alias("node"), F.explode("bands").alias("key"))
+    same_set = ["n", "k1", "k2"]
+    heads = full.groupBy(*same_set).agg(F.min("id").alias("node"), F.count("*").alias("members"), F.min_by("bands", "id").alias("bands"), F.min_by("signature", "id").alias("signature"))
+    heads = scratch.write("heads", heads)
+    signature, bodies = heads.select("node", "signature"), full.select("id", "body")
+    copied = heads.where("members > 1").select(*same_set, F.col("node").alias("class_id"))
+    member = told.select("id", *same_set).join(copied, same_set, "left")
+    own_class = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("class_id", "id")).otherwise(F.col("id"))
+    member = scratch.write("member", member.select("id", "n", own_class.alias("class_id")))
+
+    keyed = heads.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("members")).where(F.col("members") > 1)
-    buckets = cut(keyed.join(shared, "key").where(F.col("node") != F.col("center")))
+    buckets = scratch.write("buckets", keyed.join(shared.select("key", "center"), "key").where(F.col("node") != F.col("center")))
     pairs = buckets.select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
+    pairs = pairs.join(signature.toDF("a", "sa"), "a").join(signature.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
+    pairs = scratch.write("pairs", pairs.mapInArrow(tidy(_likely(likely_least)), "a long, b long"))
+    edges = scratch.write("edges", _with_centers(pairs, bodies).mapInArrow(tidy(_confirmed(shingle, percent)), "a long, b long"))
+    found = scratch.write("components", connected_components(edges))
+    scratch.drop("pairs")
 
-    left = full.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
-    right = full.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
-    pairs = cut(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_likely(likely_least), "a long, b long").distinct())
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = full.select("id", "body").join(needed, "id", "left_semi")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("body").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("body").alias("tb")), "b")
-    edges = cut(both.select("a", "b", "ta", "tb").mapInArrow(_confirmed(shingle, percent), "a long, b long").distinct())
-    found = cut(connected_components(edges))
-    placed = buckets.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = buckets.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     open_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where(F.col("lo") != F.col("hi")).select("key", "members")
-    rest = cut(placed.join(open_, "key").withColumn("tiles", F.ceil(F.col("members") / tile).cast("int")))
-    if not rest.isEmpty():
-        own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-        rest = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        rest = rest.select("key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-        shared_keys = rest.where(F.col("i") == F.col("j")).groupBy("node").agg(F.collect_list("key").alias("keys"))  # as many as bands at most
-        content = full.select(F.col("id").alias("node"), "signature", "body").join(shared_keys, "node").dropDuplicates(["node"])
-        more = cut(rest.join(content, "node").groupBy("key", "i", "j").applyInArrow(_tile_links(likely_least, shingle, percent), "a long, b long").distinct())
-        edges = edges.unionByName(more)
-        if not more.isEmpty():
-            found = cut(connected_components(edges))
+    rest = scratch.write("open", placed.join(open_, "key").withColumn("tiles", F.ceil(F.col("members") / tile).cast("int")))
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    spread = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    spread = spread.select("key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    keys = rest.groupBy("node").agg(F.collect_list("key").alias("keys"))  # as many as bands at most
+    spread = spread.join(signature.join(keys, "node"), "node")
+    likely = scratch.write("likely", spread.groupBy("key", "i", "j").applyInArrow(_tile_rows(likely_least), spread.schema))
+    more = likely.join(bodies.withColumnRenamed("id", "node"), "node").groupBy("key", "i", "j").applyInArrow(_tile_links(likely_least, shingle, percent), "a long, b long")
+    more = scratch.write("more", more.distinct())
     # Rows with one id and different sets are one node: their classes are linked through it.
-    doubled = member.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where(F.col("lo") != F.col("hi"))
-    if not doubled.isEmpty():
-        same = member.join(doubled.select("id"), "id", "left_semi").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-        found = cut(connected_components(edges.unionByName(same)))
-    place = member.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("id", "n", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
-    place = place.groupBy("id").agg(F.min("component_id").alias("component_id"), F.min("class_id").alias("class_id"))
-    out = told.select("id", "n").join(place, "id", "left")
-    component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), F.coalesce("class_id", "id").alias("class_id"))
+    doubled = member.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("id").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where(F.col("lo") != F.col("hi"))
+    joint = member.join(doubled.select("id"), "id", "left_semi").select(F.col("id").alias("a"), F.col("class_id").alias("b"))
+    more = scratch.write("joint", more.unionByName(joint))
+    if not more.isEmpty():
+        found = scratch.write("all", connected_components(edges.unionByName(more)))
+    scratch.drop("features", "heads", "buckets", "edges", "open", "likely", "more", "joint")
+    out = member.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
+    component = F.coalesce("component", "class_id")
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "class_id")
+
+
+def _with_centers(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """The text of each pair's ``a`` and of its centre ``b``, sorted so that they meet: in parts of some ``CENTER_ROWS`` rows a centre."""
+    sized = pairs.groupBy("b").agg(F.ceil(F.count("*") / CENTER_ROWS).cast("int").alias("parts"))
+    members = pairs.join(sized, "b").select(F.col("a").alias("id"), F.col("b").alias("center"), F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("first"))
+    centers = sized.select(F.col("b").alias("id"), F.col("b").alias("center"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("first"))
+    return members.unionByName(centers).join(bodies, "id").repartition("center", "part").sortWithinPartitions("center", "part", F.desc("first")).select("center", "part", "id", "first", "body")
 
 
 SQL = r"""

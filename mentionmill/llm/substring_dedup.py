@@ -31,7 +31,7 @@ class Windows:
         self.h2 = (self._hash(1, span) >> U(32)).astype(np.uint32)
 
     def _hash(self, family: int, span: int) -> np.ndarray:
-        words = B.mix(B.Rolling(self.buffer, family).of(self.begin, self.end) + (self.end - self.begin).astype(U))
+        words = B.word_hashes(self.buffer, self.begin, self.end, family)
         out, factor = np.zeros(max(0, len(words) - span + 1), U), U(0x9FB21C651E98DF25)
         for i in range(span):
             out *= factor
@@ -62,7 +62,7 @@ def repeated_windows(docs: DataFrame, span: int = 13, depth: int = 2, cells_a_wi
     blocks = B.pack(docs, id_col, text_col, block_bytes)
     total = blocks.agg(F.sum("n_bytes")).collect()[0][0] or 0
     width_bits = min(60, max(16, int(cells_a_window * max(total, 1) / 6 - 1).bit_length()))
-    sketch_bits = max(0, width_bits - 23)  # 8 million cells a shard
+    sketch_bits = max(0, min(width_bits - 23, max(6, width_bits - 26)))  # 8 million cells a shard, 64 million of large inputs
     exact_bits = B.shard_bits_for(total, 32_000_000)
 
     def cells(w: Windows):

@@ -73,6 +73,32 @@ def test_near_duplicates_of_hard_tables(make):
     assert got == [(3, 3, True), (7, 3, False), (7, 3, False)]
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_patterned_words_are_told_apart(make):
+    swap = str.maketrans("ab", "ba")
+    for n in (64, 1024, 4096):
+        one = thue_morse(n)
+        other = one.translate(swap)
+        shared = [f"w{k}" for k in range(12)]
+        rows = [(1, " ".join([one, *shared])), (2, " ".join([other, *shared])), (3, one), (4, other), (5, one + " " + one), (6, other + " " + one)]
+        got = sorted(tuple(r) for r in substring_dedup.repeated_windows(make(rows)).collect())
+        assert got == brute_windows(rows)
+        few = [(1, f"{one} a b c d"), (2, f"{other} a b c d"), (3, one), (4, other), (5, f"{one}  a b c D")]
+        near = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(make(few)).collect()}
+        assert near == {1: (1, 1), 2: (1, 2), 3: (1, 3), 4: (1, 4), 5: (1, 1)}
+
+
+def test_near_duplicates_with_repeated_ids(make):
+    """Two texts under one id: both are searched, and link their copies through the id."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, c), (5, c + " end"), (5, c + " end"), (None, c)]
+    got = sorted(((r.doc_id, r.component_id) for r in minhash_dedup.near_duplicates(make(rows)).collect()), key=str)
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (5, 4), (None, None)]
+
+
 def brute_bytes(rows, length):
     texts = [(t or "").encode() for _, t in rows]
     seen = Counter(t[k : k + length] for t in texts for k in range(len(t) - length + 1))
