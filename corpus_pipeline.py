@@ -7,12 +7,10 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mentionmill.llm import decontaminate, line_dedup, minhash_dedup, packing, quality
-from mentionmill.llm.common import ensure_checkpoint_dir, table
+from mentionmill.llm.common import Scratch, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +31,9 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group stays, one row of it; rows without an id stay."""
     kept = minhash_dedup.near_duplicates(docs).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     known = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    known = known.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))))
-    return known.where(F.col("_row") == 1).select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    inner = next(n for k in range(99) if (n := f"__row{k}") not in docs.columns)
+    known = known.withColumn(inner, F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))))
+    return known.where(F.col(inner) == 1).select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,11 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared checkpoint folder and read again."""
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/corpus-pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written to the shared folder and read again; a stage's table is dropped once the next is written.
+
+    An empty table runs through to an empty result; columns beyond those of
+    ``documents`` go along up to the last stage, whatever their names.
+    """
+    scratch, docs = Scratch(spark, "corpus-pipeline"), table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
+        docs = scratch.write(f"stage-{k}", stage(spark, docs, sf_dir))
+        scratch.drop(f"stage-{k - 1}")
     return docs
