@@ -51,9 +51,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def apart(df: DataFrame, own: list[str]) -> tuple[DataFrame, list[Column]]:
-    """``df`` with its columns ``own`` inside one struct, out of the way of inner names, and those columns taken out of it again."""
-    return df.withColumn("__own", F.struct(*[F.col(f"`{c}`") for c in own])), [F.col("__own")[c].alias(c) for c in own]
+def apart(df: DataFrame, text_col: str, replaced: tuple[str, ...]) -> tuple[DataFrame, Callable[[Column], list[Column]]]:
+    """``__own`` (a struct of the columns besides the text and those ``replaced``) and ``__text``, so that no name clashes with inner ones.
+
+    The function gives the columns back in their order, with the text it is given.
+    """
+    names = [c for c in df.columns if c not in replaced]
+    others = [c for c in names if c != text_col]
+    own = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
+    return df.select(own.alias("__own"), F.col(f"`{text_col}`").alias("__text")), lambda text: [(text if c == text_col else F.col("__own")[c]).alias(c) for c in names]
 
 
 def ascii_lower(text: Column) -> Column:

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mentionmill.llm.common import ascii_lower, cut
+from mentionmill.llm.common import apart, ascii_lower, cut
 
 #: Letters, digits and everything beyond ASCII.
 BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+RESULT = ("n_words", "n_hit", "n_items", "item_ids")
+#: Parts that the documents of one fingerprint are dealt to.
+SALTS = 8
+
+
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(f"({BENCH_WORD})"), F.lit(1))
 
@@ -51,7 +56,8 @@ def contaminated_words(docs: DataFrame, bench: DataFrame, span: int = 13, k: int
     benchmark is broadcast only where Spark finds it small enough. A null text
     has no words; a null item text is no item; a null item id is left out of
     ``item_ids``; rows alike in id and text get one result each; an empty
-    benchmark gives no hits.
+    benchmark gives no hits. Other columns go along, whatever their names; those of
+    the result are replaced.
     """
     window = span - k + 1
     items = bench.select(F.col(item_col).cast("string").alias("item"), _words(F.col(item_text_col)).alias("words")).withColumn("n", F.size("words")).where(F.col("n") > 0)
@@ -63,33 +69,38 @@ def contaminated_words(docs: DataFrame, bench: DataFrame, span: int = 13, k: int
     marks = items.where(F.size("words") == span).select(F.lit(span).alias("m"), F.array_min(_grams(F.col("words"), k)).alias("mark"))
     marks = marks.unionByName(items.where(F.size("words") < span).select(F.size("words").alias("m"), F.xxhash64("words").alias("mark"))).distinct()
 
-    own = [c for c in docs.columns if c not in ("n_words", "n_hit", "n_items", "item_ids")]
-    base = docs.select(*own).withColumn("_th", F.xxhash64(text_col))
-    worded = base.select(F.col(id_col).alias("id"), "_th", _words(F.col(text_col)).alias("words"))
+    base, own = apart(docs, text_col, RESULT)
+    ident = F.col("__own")[id_col]
+    base = base.withColumn("__th", F.xxhash64("__text"))
+    worded = base.select(ident.alias("id"), F.col("__th").alias("th"), _words(F.col("__text")).alias("words"))
     found = worded.withColumn("grams", _grams(F.col("words"), k)).withColumn("least", _winnowed(F.col("grams"), window))
     # The place of a choice is its window's. Equal neighbours say the same: the first is kept, and one at least of every ``window`` places.
     fresh = lambda x, i: (i % window == 0) | (x != F.col("least")[F.greatest(i - 1, F.lit(0))])
     firsts = F.filter(F.transform("least", lambda x, i: F.when(fresh(x, i), F.struct(F.lit(span).alias("m"), i.alias("at"), x.alias("mark")))), lambda x: x.isNotNull())
     kinds = [firsts] + [_every(F.col("words"), m) for m in short]
-    found = found.select("id", "_th", F.explode(F.concat(*kinds) if short else firsts).alias("f")).select("id", "_th", "f.*")
-    hits = found.join(marks, ["m", "mark"]).groupBy("id", "_th").agg(F.collect_list(F.struct("m", "at")).alias("hits"))
+    part, parts = F.pmod(F.xxhash64("id", "th"), F.lit(SALTS)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))  # a passage of a third of all documents meets them in many tasks
+    found = found.select("id", "th", F.explode(F.concat(*kinds) if short else firsts).alias("f")).select("id", "th", "f.*", part.alias("part"))
+    hits = found.join(marks.withColumn("part", parts), ["m", "mark", "part"]).groupBy("id", "th").agg(F.collect_list(F.struct("m", "at")).alias("hits"))
     hits = cut(hits)
 
-    keyed = hits.withColumnsRenamed({"id": "_id", "_th": "_hth"})
-    near = base.join(keyed, F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_th").eqNullSafe(F.col("_hth"))).select("_id", "_hth", text_col, "hits").dropDuplicates(["_id", "_hth"])
-    near = near.select(F.col("_id").alias("id"), F.col("_hth").alias("_th"), _words(F.col(text_col)).alias("words"), "hits")
+    keyed = hits.withColumnsRenamed({"id": "__id", "th": "__hth"})
+    near = base.select(ident.alias("id"), F.col("__th").alias("th"), F.col("__text").alias("text")).join(keyed, F.col("id").eqNullSafe(F.col("__id")) & F.col("th").eqNullSafe(F.col("__hth")))
+    near = near.dropDuplicates(["id", "th"]).select("id", "th", _words(F.col("text")).alias("words"), "hits")
     # The shared run starts at the kept window or up to window - 1 later.
     starts = F.transform("hits", lambda h: F.when(h["m"] < span, F.array(F.struct(h["m"].alias("m"), h["at"].alias("s")))).otherwise(
         F.transform(F.sequence(h["at"], F.least(h["at"] + window - 1, F.size("words") - span)), lambda s: F.struct(F.lit(span).alias("m"), s.alias("s")))))
-    tried = near.select("id", "_th", "words", F.explode(F.array_distinct(F.flatten(starts))).alias("w"))
-    tried = tried.select("id", "_th", "w.m", "w.s", F.array_join(F.slice("words", F.col("w.s") + 1, F.col("w.m")), " ").alias("content"))
-    real = tried.join(items.select("content", "items"), "content").groupBy("id", "_th").agg(F.collect_list(F.struct("s", "m")).alias("runs"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    tried = near.select("id", "th", "words", F.explode(F.array_distinct(F.flatten(starts))).alias("w"))
+    tried = tried.select("id", "th", "w.m", "w.s", F.array_join(F.slice("words", F.col("w.s") + 1, F.col("w.m")), " ").alias("content"), part.alias("part"))
+    real = tried.join(items.select("content", "items", parts.alias("part")), ["content", "part"])
+    real = real.groupBy("id", "th").agg(F.collect_list(F.struct("s", "m")).alias("runs"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     covered = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["s"], r["s"] + r["m"] - 1))))
-    real = real.select(F.col("id").alias("_id"), F.col("_th").alias("_rth"), F.size(covered).cast("long").alias("_hit"), F.sort_array("items").alias("_items"))
+    real = real.select(F.col("id").alias("__id"), F.col("th").alias("__rth"), F.size(covered).cast("long").alias("__hit"), F.sort_array("items").alias("__items"))
 
-    out = base.withColumn("n_words", F.regexp_count(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(BENCH_WORD)).cast("long"))
-    out = out.join(real, F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_th").eqNullSafe(F.col("_rth")), "left")
-    return out.select(*own, "n_words", F.coalesce("_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce(F.size("_items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("_items", F.array().cast("array<string>")).alias("item_ids"))
+    out = base.withColumn("__n", F.regexp_count(ascii_lower(F.coalesce("__text", F.lit(""))), F.lit(BENCH_WORD)).cast("long"))
+    out = out.join(real, ident.eqNullSafe(F.col("__id")) & F.col("__th").eqNullSafe(F.col("__rth")), "left")
+    none = F.array().cast("array<string>")
+    told = (F.col("__n"), F.coalesce("__hit", F.lit(0)).cast("long"), F.coalesce(F.size("__items"), F.lit(0)).cast("long"), F.coalesce("__items", none))
+    return out.select(*own(F.col("__text")), *[c.alias(n) for c, n in zip(told, RESULT, strict=True)])
 
 
 def is_contaminated() -> Column:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from mentionmill.llm.common import ship
+from mentionmill.llm.common import ship, tidy
 from mentionmill.llm.html_blocks import HASHED, Blocks
 from mentionmill.llm.html_pages import MAIN, OTHER, labelled_pages
 
@@ -134,4 +134,4 @@ def extract_text(pages: DataFrame, n_pages: int = 400, epochs: int = 8, seed: in
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
-    return rows.mapInArrow(run, f"page_id {types[id_col]}, url {types[url_col]}, text string, n_chars long")
+    return rows.mapInArrow(tidy(run), f"page_id {types[id_col]}, url {types[url_col]}, text string, n_chars long")

@@ -6,7 +6,11 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from mentionmill.llm.common import cut, order_id, trimmed
+from mentionmill.llm.common import apart, cut, order_id, trimmed
+
+
+#: Parts that the documents of one line are dealt to.
+SALTS = 16
 
 
 def spread_lines(docs: DataFrame, min_sites: int = 10, band: float = 0.3, lg_k: int = 12, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
@@ -24,7 +28,9 @@ def spread_lines(docs: DataFrame, min_sites: int = 10, band: float = 0.3, lg_k:
     likely = sketches.select("h1", "h2", "first", F.hll_sketch_estimate("sites").alias("estimate")).where(F.col("estimate") >= low)
     likely = cut(likely)
     near = likely.where(F.col("estimate") < high).select("h1", "h2", "first")
-    counted = lines.select("h1", "h2", "site").join(near, ["h1", "h2"]).groupBy("h1", "h2").agg(F.count_distinct("site").alias("n"), F.min("first").alias("first"))
+    # One row a line and site, made map-side first: what is joined and counted then has few rows a line, however many documents carry it.
+    seen = lines.groupBy("h1", "h2", "site").agg(F.lit(1).alias("one"))
+    counted = seen.join(near, ["h1", "h2"]).groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("first").alias("first"))
     sure = likely.where(F.col("estimate") >= high).select("h1", "h2", "first")
     return sure.unionByName(counted.where(F.col("n") >= min_sites).select("h1", "h2", "first"))
 
@@ -45,24 +51,26 @@ def dedup_lines(docs: DataFrame, min_sites: int = 10, id_col: str = "doc_id", te
     the text without the removed lines, and ``n_lines`` and ``n_removed``.
 
     A null text stays null and has no lines; a null site is one site of its own;
-    a null id is larger than any other; rows with one id share the removal of
-    its lines; an empty table gives an empty result. Only line hashes and ids are
+    a null id is larger than any other; rows with one id, repeated ones too, share
+    the removal of its lines; an empty table gives an empty result. Other columns
+    go along, whatever their names; ``n_lines`` and ``n_removed`` are replaced. Only line hashes and ids are
     shuffled for the counts; texts are shuffled once, by id.
     """
     spread = spread_lines(docs, min_sites, id_col=id_col, text_col=text_col, site_col=site_col, **sketch)
-    hits = _lines(docs, id_col, text_col, site_col).select("id", "ord", "h1", "h2").join(spread, ["h1", "h2"]).where(F.col("ord") > F.col("first"))
-    hits = hits.groupBy(F.col("id").alias("hit_id")).agg(F.collect_set("h1").alias("hit_lines"))
-    joined = docs.join(hits, F.col(id_col).eqNullSafe(F.col("hit_id")), "left")
-    lines = F.split(F.col(text_col), "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("hit_lines"), F.xxhash64(trimmed(x))))
+    salted = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a line of a third of all documents meets its copies in many tasks
+    lines = _lines(docs, id_col, text_col, site_col).select("id", "ord", "h1", "h2", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    hits = lines.join(salted, ["h1", "h2", "salt"]).where(F.col("ord") > F.col("first"))
+    hits = hits.groupBy(F.col("id").alias("__id")).agg(F.collect_set(F.struct("h1", "h2")).alias("__hit"))
+    base, own = apart(docs, text_col, ("n_lines", "n_removed"))
+    joined = base.join(hits, F.col("__own")[id_col].eqNullSafe(F.col("__id")), "left")
+    split = F.split("__text", "\n")
+    gone = lambda x: F.array_contains("__hit", F.struct(F.xxhash64(trimmed(x)).alias("h1"), F.hash(trimmed(x)).alias("h2")))
     full = lambda a: F.size(F.filter(a, lambda x: trimmed(x) != ""))
-    dirty = F.col("hit_lines").isNotNull() & F.col(text_col).isNotNull()
-    out = joined.withColumns({"n_lines": F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(full(lines)).cast("long"), "kept_lines": F.when(dirty, kept)})
-    out = out.withColumns({
-        "n_removed": F.when(dirty, F.col("n_lines") - full(F.col("kept_lines"))).otherwise(F.lit(0)).cast("long"),
-        "new_text": F.when(dirty, F.array_join("kept_lines", "\n")).otherwise(F.col(text_col)),
-    })
-    return out.select(*[F.col("new_text").alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    dirty = F.col("__hit").isNotNull() & F.col("__text").isNotNull()
+    out = joined.withColumns({"__n": F.when(F.col("__text").isNull(), F.lit(0)).otherwise(full(split)).cast("long"), "__kept": F.when(dirty, F.filter(split, lambda x: ~gone(x)))})
+    removed = F.when(dirty, F.col("__n") - full(F.col("__kept"))).otherwise(F.lit(0)).cast("long")
+    text = F.when(dirty, F.array_join("__kept", "\n")).otherwise(F.col("__text"))
+    return out.select(*own(text), F.col("__n").alias("n_lines"), removed.alias("n_removed"))
 
 
 SQL = r"""

@@ -13,14 +13,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from mentionmill.llm.common import cut, ship
+from mentionmill.llm.common import cut, ship, tidy
 
 #: Texts of ASCII and the letters of Latin-1 are split here; others are left to the tokenizer.
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
-#: The parts of a tokenizer's definition that make the split above equal to its own.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-STEPS = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
+#: The normalizer and pre-tokenizer, whole, that make the split above equal to the tokenizer's own.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,18 +45,18 @@ class WordTokens:
     runs of other signs has the ids of a text in those of its pieces, which are
     found here for plain texts and looked up in the model once each. Other
     texts, and other tokenizers, go to the tokenizer itself, word by word where
-    white space ends tokens. Holds ``most`` pieces at most.
+    white space ends tokens. Holds ``most`` pieces and ``most`` words at most;
+    they are let go when a task ends.
     """
 
     own: dict[str, WordTokens] = {}
 
-    def __init__(self, definition: str, most: int = 900_000):
+    def __init__(self, definition: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.held, self.words, self.most = Tokenizer.from_str(definition), {}, {}, most
         read = json.loads(definition)
-        steps = [[x["type"] for x in (read.get(k) or {}).get(many, [])] for k, many in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
-        self.split = tuple(steps) == STEPS and read["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": SPLIT}
+        self.split = all(read.get(k) == v for k, v in RULES.items())
         self.letters = _byte_letters()
 
     @classmethod
@@ -58,6 +66,10 @@ class WordTokens:
             cls.own[key] = cls(definition)
         return cls.own[key]
 
+    def clear(self) -> None:
+        self.held.clear()
+        self.words.clear()
+
     def _piece(self, piece: str) -> bytes:
         written = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
         return np.array([t.id for t in self.tokenizer.model.tokenize(written)], "<u4").tobytes()
@@ -201,7 +213,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, e
 
     Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` and,
     with ``with_ids``, ``ids``. A null text is empty and becomes ``end_id``
-    alone; null and repeated ids are kept as they are; an empty table gives an
+    alone; null and repeated ids are kept as they are; pieces alike in length are
+    ranked by a hash of id, piece and ids, and ties of it by those; an empty table gives an
     empty result; other columns are ignored. Memory follows the longest text.
     """
     ship(docs.sparkSession)
@@ -213,6 +226,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, e
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens.of(definition)
+        try:
+            yield from with_tokens(words, batches)
+        finally:
+            words.clear()
+
+    def with_tokens(words: WordTokens, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, out = [t or "" for t in batch.column(1).to_pylist()], []
             for i, ids in zip(batch.column(0).to_pylist(), words.encode(texts), strict=True):
@@ -224,7 +243,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, e
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    pieces = cut(rows.mapInArrow(tokenized, schema))
+    pieces = cut(rows.mapInArrow(tidy(tokenized), schema))
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     slots = plan(counts, capacity)
     firsts = (slots[:, 0] << 40) + slots[:, 1]

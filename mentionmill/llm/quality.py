@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mentionmill.llm.common import SEPARATORS, WORD, cut, trimmed
+from mentionmill.llm.common import SEPARATORS, WORD, apart, cut, trimmed
 
 SYMBOLS = "#*$%&|<>"
+VERDICT = ("base_failed", "line_chars", "boilerplate_chars", "kept")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: Parts that the documents of one line are dealt to.
+SALTS = 16
 
 
 def text_measures(docs: DataFrame, text_col: str = "text", span: int = 5) -> DataFrame:
@@ -16,30 +20,32 @@ def text_measures(docs: DataFrame, text_col: str = "text", span: int = 5) -> Dat
     that occur twice or more in the text: window hashes are sorted with their
     places, equal neighbours name the repeated places, and the places sorted
     again give the covered length. All of it is linear or n log n in the text.
-    A null text has no words.
+    A null text has no words. Columns of the measures' names are replaced.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce("__text", F.lit(""))
     without = lambda c, chars: F.length(F.translate(c, chars, ""))
     lines = F.filter(F.split(text, "\n"), lambda x: trimmed(x) != "")
-    out = docs.withColumns({"_words": F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), "_lines": lines})
-    n = F.size("_words")
+    base, own = apart(docs, text_col, MEASURES)
+    out = base.withColumns({"__words": F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), "__lines": lines})
+    n = F.size("__words")
     out = out.withColumns({
-        "n_words": n.cast("long"),
-        "word_chars": without(text, SEPARATORS).cast("long"),
-        "n_symbols": (F.length(text) - without(text, SYMBOLS)).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_grams": F.when(n > span, F.transform(F.sequence(F.lit(1), n - span + 1), lambda i: F.xxhash64(F.slice("_words", i, F.lit(span))))),
+        "__n": n.cast("long"),
+        "__chars": without(text, SEPARATORS).cast("long"),
+        "__symbols": (F.length(text) - without(text, SYMBOLS)).cast("long"),
+        "__dups": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+        "__grams": F.when(n > span, F.transform(F.sequence(F.lit(1), n - span + 1), lambda i: F.xxhash64(F.slice("__words", i, F.lit(span))))),
     })
-    again = F.size("_grams") > F.size(F.array_distinct("_grams"))
-    out = out.withColumn("_sorted", F.when(again, F.array_sort(F.transform("_grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    again = F.size("__grams") > F.size(F.array_distinct("__grams"))
+    out = out.withColumn("__sorted", F.when(again, F.array_sort(F.transform("__grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     body = lambda c, a: F.slice(c, F.lit(a), F.size(c) - 1)
-    pairs = F.zip_with(body("_sorted", 1), body("_sorted", 2), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
-    out = out.withColumn("_places", F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull())))))
-    gaps = F.zip_with(body("_places", 1), body("_places", 2), lambda a, b: F.least(b - a, F.lit(span)))
+    pairs = F.zip_with(body("__sorted", 1), body("__sorted", 2), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
+    out = out.withColumn("__places", F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull())))))
+    gaps = F.zip_with(body("__places", 1), body("__places", 2), lambda a, b: F.least(b - a, F.lit(span)))
     covered = F.aggregate(gaps, F.lit(0), lambda s, x: s + x) + span
-    measures = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(F.when(F.size("_places") > 0, covered), F.lit(0)).cast("long").alias("n_repeat_words"))
+    inner = [F.col(x).alias(n) for x, n in zip(("__n", "__chars", "__symbols", "__dups"), MEASURES)]
+    measures = F.struct(*inner, F.coalesce(F.when(F.size("__places") > 0, covered), F.lit(0)).cast("long").alias("n_repeat_words"))
     # A row for a row: filters on the measures stay above it, and the steps before are not copied into them.
-    return out.select(*docs.columns, F.inline(F.array(measures)))
+    return out.select(*own(F.col("__text")), F.inline(F.array(measures)))
 
 
 def base_failed() -> Column:
@@ -81,23 +87,28 @@ def quality_rules(docs: DataFrame, min_docs: int = 10, max_share: float = 0.05,
     Texts are not shuffled for the counts: line hashes are counted per host with
     partial sums, so a hot host or line costs one row per map task. A null text
     has no words and fails; a null host is a host of its own; rows with equal id
-    and text share one verdict; an empty table gives an empty result.
+    and text share one verdict; an empty table gives an empty result. Other
+    columns go along, whatever their names; those of the measures and the verdict
+    are replaced.
     """
     common = cut(frequent_host_lines(docs, min_docs, max_share, id_col, text_col, host_col))
-    hits = _host_lines(docs, id_col, text_col, host_col).join(common, ["host", "h1", "h2"]).dropDuplicates(["id", "th", "host", "h1", "h2"])
-    hits = hits.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("host").alias("_host")).agg(F.sum("chars").alias("_hit"), F.collect_list(F.struct("h1", "h2")).alias("_lost"))
-    own = [c for c in docs.columns if c not in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "line_chars", "boilerplate_chars", "kept")]
-    distinct = F.array_distinct(F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), trimmed))
-    told = text_measures(docs.select(*own), text_col)
-    told = told.withColumn("line_chars", F.aggregate(distinct, F.lit(0).cast("long"), lambda s, x: s + F.length(x)))
-    told = told.withColumns({"_th1": F.xxhash64(text_col), "_host1": F.coalesce(F.col(host_col).cast("string"), F.lit(""))})
-    on = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_th1") == F.col("_th")) & (F.col("_host1") == F.col("_host"))
-    out = told.join(hits, on, "left").withColumns({"base_failed": base_failed(), "boilerplate_chars": F.coalesce(F.col("_hit"), F.lit(0))})
-    stays = lambda x: ~F.array_contains("_lost", F.struct(F.xxhash64(trimmed(x)).alias("h1"), F.hash(trimmed(x)).alias("h2")))
-    cleaned = F.when(F.col("_lost").isNotNull(), F.array_join(F.filter(F.split(F.col(text_col), "\n"), stays), "\n")).otherwise(F.col(text_col))
-    return out.withColumn("kept", ~F.col("base_failed") & (2 * F.col("boilerplate_chars") <= F.col("line_chars"))).select(
-        *[cleaned.alias(c) if c == text_col else F.col(c) for c in own], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "line_chars", "boilerplate_chars", "kept"
-    )
+    salted = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a line of a hot host meets its documents in many tasks
+    lines = _host_lines(docs, id_col, text_col, host_col).withColumn("salt", F.pmod("th", F.lit(SALTS)).cast("int"))
+    hits = lines.join(salted, ["host", "h1", "h2", "salt"]).dropDuplicates(["id", "th", "host", "h1", "h2"])
+    hits = hits.groupBy(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("host").alias("__host")).agg(F.sum("chars").alias("__hit"), F.collect_list(F.struct("h1", "h2")).alias("__lost"))
+    told, own = apart(docs, text_col, (*MEASURES, *VERDICT))
+    told = text_measures(told, "__text")
+    distinct = F.array_distinct(F.transform(F.split(F.coalesce("__text", F.lit("")), "\n"), trimmed))
+    told = told.withColumn("__line_chars", F.aggregate(distinct, F.lit(0).cast("long"), lambda s, x: s + F.length(x)))
+    host = F.coalesce(F.col("__own")[host_col].cast("string"), F.lit(""))
+    on = F.col("__own")[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64("__text") == F.col("__th")) & (host == F.col("__host"))
+    out = told.join(hits, on, "left").withColumns({"__failed": base_failed(), "__boiler": F.coalesce("__hit", F.lit(0))})
+    stays = lambda x: ~F.array_contains("__lost", F.struct(F.xxhash64(trimmed(x)).alias("h1"), F.hash(trimmed(x)).alias("h2")))
+    cleaned = F.when(F.col("__lost").isNotNull(), F.array_join(F.filter(F.split("__text", "\n"), stays), "\n")).otherwise(F.col("__text"))
+    kept = ~F.col("__failed") & (2 * F.col("__boiler") <= F.col("__line_chars"))
+    verdict = (F.col("__failed"), F.col("__line_chars"), F.col("__boiler"), kept)
+    out = out.withColumn("__clean", cleaned)  # before the caller's names come back
+    return out.select(*own(F.col("__clean")), *MEASURES, *[c.alias(n) for c, n in zip(verdict, VERDICT, strict=True)])
 
 
 SQL = r"""

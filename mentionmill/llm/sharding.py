@@ -35,7 +35,7 @@ def interleave_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, rows_
     ).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size"))
     rows = cut(rows.withColumn("u", F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))))
     total = rows.count()
-    buckets = max(1, -(-total // rows_per_bucket))
+    buckets = max(1, -(-total // rows_per_bucket), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a source of any size is in as many tasks as there are
     ties = ("h", "doc_id", "text_crc32", "size")
 
     rows = rows.withColumn("bucket", F.floor(F.col("u") * buckets).cast("int"))

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from mentionmill.llm.common import ship
+from mentionmill.llm.common import ship, tidy
 
 WORD = re.compile(r"[^\W\d_]+")
 BITS = 20
@@ -123,11 +123,15 @@ def fit(features: list[np.ndarray], y: np.ndarray, ids: np.ndarray, ridge: float
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, max_rows: int = 15_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fit on labelled documents, at most ``max_rows`` of them, chosen by the hash of their ids."""
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
-    known = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
-    rows = docs.where(F.col(text_col).isNotNull()).join(known, F.col(id_col) == F.col("_id")).select("_id", "_toxic", F.col(text_col).alias("_text")).dropDuplicates(["_id"]).orderBy("_id").toArrow()
-    texts, toxic = rows["_text"].to_pylist(), np.array(rows["_toxic"].to_pylist(), int).reshape(-1)
+    """Fit on labelled documents, at most ``max_rows`` of them, chosen by the hash of their ids.
+
+    The chosen ids, a bounded number, are sent to the texts, which stay where they are.
+    """
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL")
+    known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    rows = texts.join(F.broadcast(known), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("id").toArrow()
+    texts, toxic = rows["text"].to_pylist(), np.array(rows["toxic"].to_pylist(), int).reshape(-1)
     return fit_texts(texts, toxic)
 
 
@@ -165,4 +169,4 @@ def expected_severity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.n
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "expected_severity", "grade", "p_toxic", "toxic"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, expected_severity double, grade int, p_toxic double, toxic boolean")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, expected_severity double, grade int, p_toxic double, toxic boolean")
