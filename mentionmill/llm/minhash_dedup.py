@@ -15,7 +15,10 @@ from mentionmill.llm.components import connected_components
 
 U = np.uint64
 SIGNATURE = 128
+#: Rows that meet one copy of their centre's text.
 CENTER_ROWS = 256
+#: Bytes of shingle sets that a tile holds at once; others are made again from the texts.
+HELD = 64_000_000
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -167,9 +170,16 @@ def _tile_links(least: float, size: int, percent: int):
                 parent[c] = c = parent[parent[c]]
             return c
 
+        held = 0
+
         def shingles(k: int) -> np.ndarray:
+            nonlocal held
             if k not in sets:
-                sets[k] = shingle_hashes(open_.decompress(bodies[k]), size)
+                found = shingle_hashes(open_.decompress(bodies[k]), size)
+                if held > HELD:
+                    sets.clear()
+                    held = 0
+                sets[k], held = found, held + found.nbytes
             return sets[k]
 
         for x in left.tolist():
@@ -177,8 +187,9 @@ def _tile_links(least: float, size: int, percent: int):
                 a, b = root(int(comp[x])), root(int(comp[y]))
                 if a == b or min(keys[x] & keys[y]) != key:
                     continue
-                both = len(np.intersect1d(shingles(x), shingles(y), assume_unique=True))
-                if 100 * both >= percent * (len(shingles(x)) + len(shingles(y)) - both):
+                one, other = shingles(x), shingles(y)
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                if 100 * both >= percent * (len(one) + len(other) - both):
                     parent[max(a, b)] = min(a, b)
                     out.append((max(ids[x], ids[y]), min(ids[x], ids[y])))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
@@ -186,7 +197,7 @@ def _tile_links(least: float, size: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands: int = 60, rows: int = 6, seed: int = 11, tile: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands: int = 60, rows: int = 6, seed: int = 11, tile: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Group documents linked by a Jaccard similarity of ``percent`` or more of their ``shingle``-word sets.
 
     Many universal hash minima a document form ``bands`` of ``rows``; a pair at
@@ -234,9 +245,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     pairs = buckets.select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     pairs = pairs.join(signature.toDF("a", "sa"), "a").join(signature.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
     pairs = scratch.write("pairs", pairs.mapInArrow(tidy(_likely(likely_least)), "a long, b long"))
-    edges = scratch.write("edges", _with_centers(pairs, bodies).mapInArrow(tidy(_confirmed(shingle, percent)), "a long, b long"))
+    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / CENTER_ROWS).cast("int").alias("parts")).where("parts > 1")
+    parts = scratch.write("parts", parts)  # a row for some hundreds of pairs at least: Spark sees its size, and sends it out if it is small
+    edges = scratch.write("edges", _with_centers(pairs, parts, bodies).mapInArrow(tidy(_confirmed(shingle, percent)), "a long, b long"))
     found = scratch.write("components", connected_components(edges))
-    scratch.drop("pairs")
+    scratch.drop("pairs", "parts")
 
     placed = buckets.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     open_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where(F.col("lo") != F.col("hi")).select("key", "members")
@@ -247,7 +260,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     keys = rest.groupBy("node").agg(F.collect_list("key").alias("keys"))  # as many as bands at most
     spread = spread.join(signature.join(keys, "node"), "node")
     likely = scratch.write("likely", spread.groupBy("key", "i", "j").applyInArrow(_tile_rows(likely_least), spread.schema))
-    more = likely.join(bodies.withColumnRenamed("id", "node"), "node").groupBy("key", "i", "j").applyInArrow(_tile_links(likely_least, shingle, percent), "a long, b long")
+    more = likely.join(bodies.withColumnRenamed("id", "node").hint("merge"), "node").groupBy("key", "i", "j").applyInArrow(_tile_links(likely_least, shingle, percent), "a long, b long")
     more = scratch.write("more", more.distinct())
     # Rows with one id and different sets are one node: their classes are linked through it.
     doubled = member.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("id").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi")).where(F.col("lo") != F.col("hi"))
@@ -261,12 +274,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "class_id")
 
 
-def _with_centers(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """The text of each pair's ``a`` and of its centre ``b``, sorted so that they meet: in parts of some ``CENTER_ROWS`` rows a centre."""
-    sized = pairs.groupBy("b").agg(F.ceil(F.count("*") / CENTER_ROWS).cast("int").alias("parts"))
-    members = pairs.join(sized, "b").select(F.col("a").alias("id"), F.col("b").alias("center"), F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("first"))
-    centers = sized.select(F.col("b").alias("id"), F.col("b").alias("center"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("first"))
-    return members.unionByName(centers).join(bodies, "id").repartition("center", "part").sortWithinPartitions("center", "part", F.desc("first")).select("center", "part", "id", "first", "body")
+def _with_centers(pairs: DataFrame, parts: DataFrame, bodies: DataFrame) -> DataFrame:
+    """The text of each pair's ``a`` and of its centre ``b``, sorted so that they meet: in ``parts`` of some ``CENTER_ROWS`` rows a centre."""
+    n = F.coalesce("parts", F.lit(1))
+    members = pairs.join(parts, "b", "left").select(F.col("a").alias("id"), F.col("b").alias("center"), F.pmod(F.xxhash64("a"), n).cast("int").alias("part"), F.lit(False).alias("first"))
+    centers = pairs.select("b").distinct().join(parts, "b", "left")
+    centers = centers.select(F.col("b").alias("id"), F.col("b").alias("center"), F.explode(F.sequence(F.lit(0), n - 1)).alias("part"), F.lit(True).alias("first"))
+    met = members.unionByName(centers).join(bodies.hint("merge"), "id")
+    return met.repartition("center", "part").sortWithinPartitions("center", "part", F.desc("first")).select("center", "part", "id", "first", "body")
 
 
 SQL = r"""
