@@ -109,7 +109,8 @@ def extract_text(pages: DataFrame, n_pages: int = 400, epochs: int = 8, seed: in
 
     A page is cut into leaf blocks: text between the tags of block elements,
     character references decoded, white space made one space; scripts, styles
-    and other raw elements have no blocks. A linear-chain conditional random
+    and other raw elements have no blocks. Tags may be left out or unclosed as
+    HTML allows, without loss of the text that follows. A linear-chain conditional random
     field with the tags, classes and ids of all ancestors, link share, length,
     punctuation, place and cue words as features marks the article's blocks; it
     is trained on ``n_pages`` made-up labelled pages and decoded by Viterbi.

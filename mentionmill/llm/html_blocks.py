@@ -6,17 +6,26 @@ import html
 import re
 import zlib
 
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "head", "object", "canvas", "math", "select"}
+#: Elements whose content is text up to their own closing tag, and no part of a page's prose.
+RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
+#: Elements that may hold anything. One that is never closed holds nothing: the rest of the page is not its own.
+HOLDERS = {"noscript", "template", "svg", "object", "canvas", "select", "audio", "video"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "area", "base", "col", "embed", "param", "track"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
+    "math", "mfrac", "mi", "mn", "mo", "mroot", "mrow", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtext", "semantics",
     "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 #: An opening tag of the key ends an open element of the values, up to the nearest of the barriers.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIERS = {"ul", "ol", "dl", "table", "body", "article", "section", "div", "main"}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Comments, declarations, and tags with their attributes; a quote is one only where a value begins.
+TOKEN = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|</(?:>|[^a-zA-Z>][^>]*+(?:>|\Z))
+    |<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+|=)*+)(?:>|\Z)""",
+    re.S | re.X,
+)
+ATTRIBUTE = re.compile(r"(?<![\w-])(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))", re.I)
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 HASHED = 1 << 15
 
@@ -60,6 +69,7 @@ class Blocks:
         out: list[tuple[str, float, tuple]] = []
         pieces: list[str] = []
         linked, links, at, path = 0, 0, 0, ()
+        held: dict[str, int] = {}  # where each holder is closed last
 
         def flush() -> None:
             nonlocal linked, pieces
@@ -85,14 +95,20 @@ class Blocks:
             tag = m[2].lower() if m[2] else None
             if tag is None:
                 continue
-            if not m[1] and tag in RAW and not m[3].endswith("/"):
-                if tag not in INLINE:
-                    flush()
+            if not m[1] and tag in RAW:
+                flush()
                 close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                if tag == "head" and not close:
-                    close = re.compile(r"(?=<body\b)", re.I).search(page, at)
                 at = close.end() if close else len(page)
                 continue
+            if tag == "head":  # its elements are raw or empty; what cannot stand in it is the body, with or without a tag
+                flush()
+                continue
+            if tag in HOLDERS and not m[1]:
+                if tag not in held:
+                    held[tag] = max((x.start() for x in re.finditer(rf"</{tag}\b", page, re.I)), default=-1)
+                if held[tag] < at:
+                    flush()
+                    continue
             if tag in VOID:
                 if tag in INLINE:
                     pieces += [" "] if pieces else []

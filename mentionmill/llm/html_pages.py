@@ -70,6 +70,8 @@ class Page:
             return f"<blockquote>{text}</blockquote>"
         if r < 0.38:
             return f"<div>{text}</div>"
+        if r < 0.39:
+            return self.r.choice(["<object>{}</object>", "<canvas>{}</canvas>", "<video>{}</video>"]).format(f"<p>{text}</p>")
         return f"<p>{text}</p>"
 
     def advert(self) -> str:
@@ -79,7 +81,12 @@ class Page:
         return self.around(SIDE, f"<h3>{self.phrase('side')}</h3>" + self.r.choice([self.links(self.r.randint(2, 6)), f"<p>{self.prose(OTHER, 2)}</p>"]))
 
     def form(self) -> str:
-        return f"<form><label>{self.phrase('form')}</label><input name=q><button>{self.phrase('form')}</button></form>"
+        choice = "<select>" + "".join(f"<option>{OTHER}{self.word()}" for _ in range(self.r.randint(2, 4))) + "</select>" if self.r.random() < 0.3 else ""
+        return f"<form><label>{self.phrase('form')}</label><input name=q>{choice}<button>{self.phrase('form')}</button></form>"
+
+    def unseen(self) -> str:
+        """What browsers with scripts and pictures don't show as text."""
+        return self.r.choice([f"<noscript>{self.prose(OTHER, 1)}</noscript>", f"<svg><text>{OTHER}{self.word()}</text></svg>", f"<template><p>{self.prose(OTHER, 2)}</p></template>"])
 
     def comments(self) -> str:
         return self.around(COMMENTS, "".join(f'<div class="comment"><b>{OTHER}{self.word()}</b><p>{self.prose(OTHER, 3)}</p><a>{self.phrase("comments")}</a></div>' for _ in range(self.r.randint(1, 4))))
@@ -90,6 +97,7 @@ class Page:
         parts += [self.around(MENU, self.links(r.randint(3, 8)))] if few(0.9) else []
         parts += [self.around(NOTICE, f"<p>{self.phrase('notice')} {self.prose(OTHER, 2)}</p>")] if few(0.3) else []
         parts += [self.advert()] if few(0.5) else []
+        parts += [self.unseen()] if few(0.15) else []
         parts += [self.side()] if few(0.25) else []
         body = [f"<h1>{self.sentence(MAIN, 2, 10)}</h1>"] if few(0.85) else []
         for _ in range(r.randint(1, 14)):
