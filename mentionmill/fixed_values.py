@@ -50,26 +50,26 @@ PLACEHOLDER_TITLES = [
 
 WITHDRAWN_HEADS = ["Withdrawn", "Withdrawal", "Retracted", "Retraction", "Errata", "Erratum", "Revoked", "Removed", "Correction Notice", "Corrigendum"]
 
-# Titles that hold one of these anywhere (any case) are not research. Phrases
-# that hold a shorter one here are covered by it.
+# Titles that hold one of these anywhere (any case) are not research.
 NON_RESEARCH = [
     "A reply to Letter to the editor", "About the Author", "An Update from the Editor-in-Chief", "Announcement:", "Announcements", "Appeal",
-    "ASO Author Reflection", "AUTHOR COPY ONLY", "Associate Editor", "Author profile", "Author Reflections:", "Author reply",
-    "Author response", "Author view", "Author's reply", "Author's respond", "Editor's Reflection", "Editors Reflection",
-    "Editors' Reflection", "Editor' Reflection", "Author's response", "Author's view", "Authors reply", "Authors respond",
-    "Authors view", "Authors' Reply", "Authors' response", "Authors's response", "Book Review", "EditorinChief", "Comment",
-    "Conference Summary", "Conversation with the Editor", "Correspondence", "Editorial", "Editor Profile", "Editor response for",
+    "ASO Author Reflection", "AUTHOR COPY ONLY", "Associate Editor", "Author comment:", "Author profile", "Author Reflections:", "Author reply",
+    "Author response", "Author response to", "Author view", "Author's reply", "Author's respond", "Editor's Reflection", "Editors Reflection",
+    "Editors' Reflection", "Editor' Reflection", "Author's response", "Author's view", "Authors reply", "Authors respond", "Authors response",
+    "Authors view", "Authors' Reply", "Authors' response", "Authors's response", "Book Review", "EditorinChief", "Comment", "Comment on",
+    "Commentary", "Conference Summary", "Conversation with the Editor", "Correspondence", "Editorial", "Editor Profile", "Editor response for",
     "Editor change", "New Editor", "Editor-in-Chief", "Editorinchief's introduction", "Editor's evaluation", "Editor's Introduction",
-    "Editor's Message", "Editor's note", "Editors Introduction", "Editors Message", "Editors Note on", "Editors Spotlight",
-    "Editors change", "Editors note", "Editors' Introduction", "Editors' Message", "Editors' note", "Foreword", "From the Editor",
-    "From the Guest Editor", "Guest editor", "Introducing our new Editors", "Letter to editor", "Letter to the Editor", "Letter:",
-    "Letter Of The Editor", "Letters of the editor", "Letter-to-the-editor", "Letters to editor", "Letters to the editor",
-    "Meet the First Author", "Meet the author", "Meet the editor", "Message from Editor", "Message from the Editor", "News", "Opinion",
-    "our author", "our editor", "Reply:", "In reply:", "Reply to:", "In reply to:", "Perspective", "Preface", "Proceedings",
-    "Publisher'?s? Note", "Reply by Author", "Reply by the author", "Reply to Letter to", "Reply to correspondence",
-    "Reply to the Letter to", "Response to a letter", "Response to letter", "senior editor", "Special Section", "The Author Reply",
-    "The Authors Reply", "To the Editor", "Transitioning Between Editor", "Viewpoint", "Welcome to our", "Executive Editor",
-    "Assistant Editor",
+    "Editor's Message", "Editor's note", "Editors Introduction", "Editors Message", "Editors Note on", "Editors Spotlight", "Editors change",
+    "Editors note", "Editors' Introduction", "Editors' Message", "Editors' note", "Foreword", "From the Editor", "From the Editor-in-Chief",
+    "From the Editors...", "From the Editors Desk...", "From the Editor's desk", "From the editors desk", "From the Guest Editor",
+    "Guest editor", "Guest editorial", "Introducing our new Editors", "Issue Editor Foreword", "Issue Information Editorial Board",
+    "Letter to editor", "Letter to the Editor", "Letter:", "Letter Of The Editor", "Letters of the editor", "Letter-to-the-editor",
+    "Letters to editor", "Letters to the editor", "Meet the First Author", "Meet the author", "Meet the editor", "Message from Editor",
+    "Message from the Editor", "News", "Opinion", "our author", "our editor", "Reply:", "In reply:", "Reply to:", "In reply to:",
+    "Perspective", "Preface", "Proceedings", "Publisher'?s? Note", "Reply by Author", "Reply by the author", "Reply to Editorial Comment",
+    "Reply to Letter to", "Reply to correspondence", "Reply to the Letter to", "Response to Editorial", "Response to a letter",
+    "Response to letter", "senior editor", "Special Section", "The Author Reply", "The Authors Reply", "To the Editor",
+    "Transitioning Between Editor", "Viewpoint", "Welcome to our", "Executive Editor", "Assistant Editor",
 ]
 
 BLOCKED_ABSTRACTS = ["Our website uses cookies to enhance your experience.", "(Cell Reports"]

@@ -48,6 +48,6 @@ def match_aliases(texts: DataFrame, aliases: DataFrame, key: str) -> DataFrame:
 
 def match_substrings(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     """``key, term``: terms of three characters or more found anywhere in ``text``, by their first three characters."""
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("text") - 2), lambda i: F.substr("text", i, F.lit(3))))
+    grams = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?s)(?=(...))"), F.lit(1)))  # overlapping, in one pass
     heads = terms.where(F.length("term") >= 3).select("term", F.col("term").alias("form"), F.substring("term", 1, 3).alias("unit")).distinct()
     return _found(texts.where(F.length("text") >= 3).select(key, "text"), key, grams, heads, F.col("text").contains(F.col("form")))

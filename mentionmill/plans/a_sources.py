@@ -6,17 +6,26 @@ from pyspark.sql import functions as F
 
 from mentionmill.plans.registry import query
 from mentionmill.plans.views import table
+from mentionmill.runtime import Scratch, ship
 from mentionmill.sources import readers as R
+from mentionmill.sources import writers as W
 
 
 @query("A01_scan_schema", "SELECT doc_id AS paper_id, lang AS language, length(text)::BIGINT AS n FROM documents")
 def a01(spark, d):
-    return table(spark, d, "documents").select(F.col("doc_id").alias("paper_id"), F.col("lang").alias("language"), F.length("text").cast("long").alias("n"))
+    """Delimited text with line breaks and quotes inside fields, read by a given schema."""
+    path = f"{Scratch(spark, 'csv').folder}/articles"
+    W.write_csv(table(spark, d, "documents").select("doc_id", "lang", "text"), path)
+    rows = R.read_csv(spark, path, "paper_id bigint, language string, text string", lineSep="\n")
+    return rows.select("paper_id", "language", F.length("text").cast("long").alias("n"))
 
 
 @query("A02_panel_list", "SELECT DISTINCT trim(p_brand) AS gene FROM part WHERE trim(p_brand) <> ''")
 def a02(spark, d):
-    return table(spark, d, "part").select(F.trim("p_brand").alias("gene")).where("gene <> ''").distinct()
+    path = f"{Scratch(spark, 'panel').folder}/list"
+    listed = table(spark, d, "part").select(F.concat(F.lit(" "), "p_brand", F.lit("  ")).alias("gene")).distinct()
+    listed.unionByName(spark.createDataFrame([(" ",)], "gene string")).write.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return R.read_panel(spark, path)
 
 
 @query("A03_projected_scan", "SELECT o_orderkey AS paper_id, o_totalprice AS price FROM orders WHERE o_totalprice > 100000")
@@ -65,29 +74,55 @@ def a06(spark, d):
 
 @query("A07_dimension_source", "SELECT n.n_nationkey::BIGINT AS id, n.n_name AS name, r.r_name AS parent FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
 def a07(spark, d):
-    return table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"), F.col("r_name").alias("parent"))
+    """A dimension from a graph query with a cursor, four nodes a page."""
+    joined = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = [r.asDict() for r in joined.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"), F.col("r_name").alias("parent")).orderBy("id").collect()]  # a stand-in for a service
+
+    def fetch(after: str | None) -> dict:
+        at = int(after or 0)
+        return {"data": {"nations": {"edges": [{"node": r} for r in rows[at : at + 4]], "pageInfo": {"hasNextPage": at + 4 < len(rows), "endCursor": str(at + 4)}}}}
+
+    return spark.createDataFrame(list(R.pages(fetch, R.connection("nations"), first=None, sleep=lambda s: None)), "id long, name string, parent string")
 
 
 @query(
     "A08_enrichment_fallback",
-    """SELECT c.c_custkey AS id, coalesce(s.s_name, n.n_name, 'none') AS found FROM customer c
-    LEFT JOIN supplier s ON s.s_suppkey = c.c_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_nationkey < 20""",
+    "SELECT c_custkey AS id, CASE WHEN c_nationkey % 5 < 2 THEN 'first ' || c_nationkey WHEN c_nationkey % 5 < 4 THEN 'second ' || c_nationkey END AS found FROM customer",
 )
 def a08(spark, d):
-    c, s = table(spark, d, "customer"), table(spark, d, "supplier")
-    n = table(spark, d, "nation").where("n_nationkey < 20")
-    return c.join(s, F.col("s_suppkey") == F.col("c_custkey"), "left").join(n, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(F.col("c_custkey").alias("id"), F.coalesce("s_name", "n_name", F.lit("none")).alias("found"))
+    """Keys looked up by clients in turn: the first knows some and fails on others, the second knows some of the rest."""
+    ship(spark)
+
+    def first(key):
+        if key % 5 == 4:
+            raise OSError("not there")
+        return f"first {key}" if key % 5 < 2 else None
+
+    def second(key):
+        return f"second {key}" if key % 5 < 4 else None
+
+    return R.enrich(table(spark, d, "customer"), "c_nationkey", [first, second]).select(F.col("c_custkey").alias("id"), "found")
 
 
 @query(
     "A09_nested_json",
-    "SELECT event_id, (props->>'k')::BIGINT AS k, k2 FROM (SELECT event_id, props::JSON AS props, unnest(range(0, ((props::JSON->>'k')::INT) % 3)) AS k2 FROM events)",
+    """SELECT o_orderkey::VARCHAR AS paper_id, o_orderpriority AS title, array_to_string(string_split(o_orderpriority, '-'), ' ') AS abstract, CASE WHEN o_orderkey % 3 = 0 THEN 'A. ' || o_custkey ELSE 'A. ' || o_custkey || ', B. ' || o_orderkey END AS authors,
+    o_custkey || '|' || o_orderkey AS citations, o_orderstatus AS concepts, year(o_orderdate)::INT AS pub_year, strftime(o_orderdate, '%Y-%m-%d') AS pub_date FROM orders""",
 )
 def a09(spark, d):
-    """A nested array of each record as rows; records whose array is empty drop out."""
-    e = table(spark, d, "events").select("event_id", F.from_json("props", "k bigint").alias("p"))
-    nested = F.filter(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: i.cast("long")), lambda i: i < F.pmod(F.col("p.k"), F.lit(3)))
-    return e.select("event_id", F.col("p.k").alias("k"), F.explode(nested).alias("k2"))
+    """Bibliographic records written as JSON lines, read by their schema and flattened."""
+    o, base = table(spark, d, "orders"), "https://records/"
+    words = F.split("o_orderpriority", "-")
+    author = lambda name: F.struct(F.struct(name.alias("display_name")).alias("author"))
+    record = o.select(
+        F.concat(F.lit(base), "o_orderkey").alias("id"), F.col("o_orderpriority").alias("title"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publication_date"), F.year("o_orderdate").alias("publication_year"),
+        F.map_from_entries(F.transform(words, lambda w, i: F.struct(w, F.array(i)))).alias("abstract_inverted_index"),
+        F.array(author(F.concat(F.lit("A. "), "o_custkey")), author(F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("B. "), "o_orderkey")))).alias("authorships"),
+        F.array(F.concat(F.lit(base), "o_custkey"), F.concat(F.lit(base), "o_orderkey")).alias("referenced_works"), F.array(F.struct(F.concat(F.lit(base), "o_orderstatus").alias("id"))).alias("concepts"),
+    )
+    path = f"{Scratch(spark, 'json').folder}/works"
+    record.write.json(path)
+    return R.flatten_works(spark.read.schema(R.RAW_WORK).json(path), base)
 
 
 @query("A10_inverted_text", "SELECT doc_id, array_to_string(list_filter(string_split(coalesce(text, ''), ' '), lambda x: x <> ''), ' ') AS body FROM documents")
@@ -110,6 +145,43 @@ def a11(spark, d):
     return rows.select("paper_id", R.joined(F.col("items"), lambda x: x["id"], "urn:").alias("parts"))
 
 
+@query("A12_csv_sink", "SELECT p_partkey, p_name, p_size, CASE WHEN p_size > 25 THEN p_brand END AS brand FROM part")
+def a12(spark, d):
+    """Written whole and read again; a missing value stays one."""
+    path = f"{Scratch(spark, 'csv').folder}/parts"
+    W.write_csv(table(spark, d, "part").select("p_partkey", "p_name", "p_size", F.when(F.col("p_size") > 25, F.col("p_brand")).alias("brand")), path)
+    return R.read_csv(spark, path, "p_partkey bigint, p_name string, p_size int, brand string")
+
+
+@query("A13_chunked_csv", "SELECT count(*) AS n, sum(l_orderkey)::BIGINT AS keys, true AS small FROM lineitem")
+def a13(spark, d):
+    """Files of 5,000 rows at most."""
+    path = f"{Scratch(spark, 'csv').folder}/chunks"
+    W.write_csv(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), path, rows_a_file=5000)
+    rows = R.read_csv(spark, path, "l_orderkey bigint, l_linenumber int").groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"))
+    return rows.agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"), (F.max("n") <= 5000).alias("small"))
+
+
+@query("A14_csv_append", "SELECT event_id::VARCHAR AS event_id, event_type FROM events")
+def a14(spark, d):
+    """Rows added in three goes, under one header."""
+    path = f"{Scratch(spark, 'csv').folder}/log"
+    e = table(spark, d, "events").select("event_id", "event_type")
+    for k in range(3):
+        W.append_csv(e.where(F.pmod("event_id", F.lit(3)) == k), path)
+    return R.read_appended(spark, path)
+
+
+@query("A16_graph_file", "SELECT n.n_name AS a, r.r_name AS b, (n.n_nationkey + 0.5)::DOUBLE AS weight, 'Region' AS category FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
+def a16(spark, d):
+    """A small graph written as GML and read again."""
+    pairs = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name", (F.col("n_nationkey") + 0.5).cast("double")).collect()  # a graph to be drawn
+    names = sorted({(a, "Nation") for a, _, _ in pairs} | {(b, "Region") for _, b, _ in pairs})
+    vertices, edges = W.read_gml(W.gml(names, [tuple(p) for p in pairs]))
+    kind = dict(vertices)
+    return spark.createDataFrame([(a, b, w, kind[b]) for a, b, w in edges], "a string, b string, weight double, category string")
+
+
 @query("A17_batches", "SELECT ceil(rn / 500.0)::INT AS batch, count(*) AS n, min(o_orderkey) AS first FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) GROUP BY 1")
 def a17(spark, d):
     return R.with_batch(table(spark, d, "orders").select("o_orderkey"), 500, "o_orderkey").groupBy("batch").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"))

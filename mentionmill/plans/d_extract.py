@@ -41,9 +41,9 @@ def d03(spark, d):
     return D.match_aliases(texts(spark, d), spark.createDataFrame(ALIASES, "alias string, canonical string"), "paper_id").withColumn("surfaces", F.array_join("surfaces", "|"))
 
 
-@query("D04_substring_match", with_(ARTICLE, TERM) + "SELECT paper_id, term FROM article, term WHERE contains(title, term)")
+@query("D04_substring_match", with_(ARTICLE, TEXT, TERM) + "SELECT paper_id, term FROM txt, term WHERE contains(text, term)")
 def d04(spark, d):
-    return D.match_substrings(article(spark, d).select("paper_id", F.col("title").alias("text")), terms(spark), "paper_id")
+    return D.match_substrings(texts(spark, d), terms(spark), "paper_id")
 
 
 TAGS = "tag AS (SELECT event_id // 8 AS key, event_id % 8 AS pos, CASE WHEN event_type IN ('view', 'error') THEN '##' ELSE '' END || event_type AS piece, CASE event_type WHEN 'click' THEN 'B-X' WHEN 'view' THEN 'I-X' WHEN 'error' THEN 'I-X' ELSE 'O' END AS tag FROM events)"
@@ -89,9 +89,9 @@ def d08(spark, d):
     return X.normalise_names(parts.select(F.col("p_partkey").alias("id"), entity.alias("entity")), parts.select(F.col("p_type").alias("name")), "id")
 
 
-@query("D09_variant_patterns", with_(ARTICLE) + r", s AS (SELECT paper_id, title || ' rs' || paper_id || ' V600E' AS t FROM article) SELECT paper_id, list_sort(list_distinct(list_concat(regexp_extract_all(t, 'rs\d+'), regexp_extract_all(t, '\b[A-Z]\d+[A-Z]\b')))) AS found FROM s")
+@query("D09_variant_patterns", with_(ARTICLE) + r", s AS (SELECT paper_id, title || ' ' || abstract || ' rs' || paper_id || ' V600E' AS t FROM article) SELECT paper_id, list_sort(list_distinct(list_concat(regexp_extract_all(t, 'rs\d+'), regexp_extract_all(t, '\b[A-Z]\d+[A-Z]\b')))) AS found FROM s")
 def d09(spark, d):
-    t = F.concat("title", F.lit(" rs"), "paper_id", F.lit(" V600E"))
+    t = F.concat("title", F.lit(" "), "abstract", F.lit(" rs"), "paper_id", F.lit(" V600E"))
     found = F.array_distinct(F.concat(F.regexp_extract_all(t, F.lit(r"(rs\d+)"), F.lit(1)), F.regexp_extract_all(t, F.lit(r"\b([A-Z]\d+[A-Z])\b"), F.lit(1))))
     return article(spark, d).select("paper_id", F.array_sort(found).alias("found"))
 
@@ -165,7 +165,7 @@ def d17(spark, d):
     return X.not_yet(table(spark, d, "orders").select("o_orderkey"), done, "o_orderkey")
 
 
-@query("D18_candidate_pairs", with_(MENTION) + "SELECT a.paper_id, a.entity AS a, b.entity AS b FROM mention a JOIN mention b ON a.paper_id = b.paper_id WHERE a.category = 'Variant' AND b.category = 'Treatment'")
+@query("D18_candidate_pairs", "WITH line AS (SELECT l_orderkey AS paper_id, p_name, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey), v AS MATERIALIZED (SELECT DISTINCT paper_id, p_name AS a FROM line), t AS MATERIALIZED (SELECT DISTINCT paper_id, p_brand AS b FROM line) SELECT v.paper_id, a, b FROM v JOIN t ON v.paper_id = t.paper_id")
 def d18(spark, d):
     return X.candidate_pairs(mention(spark, d))
 

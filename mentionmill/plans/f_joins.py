@@ -18,14 +18,17 @@ def f01(spark, d):
     return c.join(n, F.nullif("c_nationkey", F.lit(3)).eqNullSafe(F.nullif("n_nationkey", F.lit(3))), "left").select("c_custkey", "n_name")
 
 
-CHAIN = {"Gene": "genes", "Cancer": "cancers", "Treatment": "treatments", "Variant": "variants"}
+#: Counts by key, whose keys overlap in part: what a chain of full joins has to keep.
+CHAIN = [("customers", "customer", "c_nationkey"), ("suppliers", "supplier", "s_suppkey"), ("orders", "orders", "o_custkey"), ("items", "lineitem", "l_partkey")]
 
 
-@query("F02_full_outer_chain", with_(MENTION) + "SELECT paper_id, " + ", ".join(f"nullif(count_if(category = '{k}' AND length(entity) % 2 = 0), 0) AS {v}" for k, v in CHAIN.items()) + " FROM mention WHERE length(entity) % 2 = 0 GROUP BY paper_id")
+@query(
+    "F02_full_outer_chain",
+    "WITH " + ", ".join(f"{n}_ AS (SELECT {k}::BIGINT AS id, count(*) AS {n} FROM {t} GROUP BY 1)" for n, t, k in CHAIN) + " SELECT id, customers, suppliers, orders, items FROM customers_ FULL JOIN suppliers_ USING (id) FULL JOIN orders_ USING (id) FULL JOIN items_ USING (id)",
+)
 def f02(spark, d):
-    m = mention(spark, d).where("length(entity) % 2 = 0")
-    parts = [m.where(C("category") == k).groupBy("paper_id").agg(F.count("*").alias(v)) for k, v in CHAIN.items()]
-    return reduce(lambda a, b: a.join(b, "paper_id", "full"), parts)
+    parts = [table(spark, d, t).groupBy(C(k).cast("long").alias("id")).agg(F.count("*").alias(n)) for n, t, k in CHAIN]
+    return reduce(lambda a, b: a.join(b, "id", "full"), parts)
 
 
 @query("F03_composite_left", "SELECT coalesce(s_suppkey, c_custkey) AS id, s_name, n_name FROM (SELECT * FROM supplier FULL JOIN customer ON s_suppkey = c_custkey) LEFT JOIN nation ON n_nationkey = s_nationkey AND n_regionkey = c_nationkey % 5")

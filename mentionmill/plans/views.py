@@ -24,7 +24,7 @@ def article(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
     date = F.date_format(F.date_add(F.lit("2014-01-01").cast("date"), F.pmod(k * 37, F.lit(4000)).cast("int")), "yyyy-MM-dd")
     return table(spark, sf_dir, "documents").select(
-        k.alias("paper_id"), F.concat(F.element_at(heads, (F.pmod(k, F.lit(len(HEADS))) + 1).cast("int")), F.substring(F.split_part(text, F.lit("."), F.lit(1)), 1, 120)).alias("title"),
+        k.alias("paper_id"), F.concat(F.element_at(heads, (F.pmod(k, F.lit(len(HEADS))) + 1).cast("int")), F.split_part(text, F.lit("."), F.lit(1))).alias("title"),
         text.alias("abstract"), F.col("source").alias("authors"), F.col("lang").alias("language"),
         F.when(F.pmod(k, F.lit(11)) == 0, F.lit("2020-1-1")).otherwise(date).alias("pub_date"), k.alias("ingest_ord"),
     )
@@ -32,7 +32,7 @@ def article(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HEADS_SQL = "[" + ", ".join("'" + h.replace("'", "''") + "'" for h in HEADS) + "]"
 ARTICLE = rf"""article AS (
-  SELECT doc_id AS paper_id, {_HEADS_SQL}[doc_id % {len(HEADS)} + 1] || substr(split_part(t, '.', 1), 1, 120) AS title, t AS abstract,
+  SELECT doc_id AS paper_id, {_HEADS_SQL}[doc_id % {len(HEADS)} + 1] || split_part(t, '.', 1) AS title, t AS abstract,
     source AS authors, lang AS language,
     CASE WHEN doc_id % 11 = 0 THEN '2020-1-1' ELSE strftime(DATE '2014-01-01' + ((doc_id * 37) % 4000)::INT, '%Y-%m-%d') END AS pub_date, doc_id AS ingest_ord
   FROM (SELECT *, regexp_replace(coalesce(text, ''), '[^\x00-\x7F]+', '', 'g') AS t FROM documents)

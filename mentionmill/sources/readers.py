@@ -5,7 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from mentionmill.runtime import cut
 
 ARTICLE_CSV = "paper_id bigint, title string, citations string, concepts string, authors string, abstract string, language string, pub_year int, pub_date string"
 RAW_WORK = (
@@ -57,31 +61,80 @@ def flatten_works(raw: DataFrame, base: str = "") -> DataFrame:
     )
 
 
-def pages(fetch: Callable[[str], dict], tries: int = 3, wait: float = 2.0, pause: float = 1.5, sleep: Callable[[float], None] = time.sleep) -> Iterator[dict]:
+def _listed(page: dict) -> tuple[list, str | None]:
+    """Records and the next cursor of a page ``{"results": [...], "meta": {"next_cursor": ...}}``."""
+    return page["results"], page.get("meta", {}).get("next_cursor")
+
+
+def connection(name: str) -> Callable[[dict], tuple[list, str | None]]:
+    """Records and the next cursor of a page of the graph query ``name``: nodes of its edges, and its page information."""
+
+    def read(page: dict) -> tuple[list, str | None]:
+        found = page["data"][name]
+        return [e["node"] for e in found["edges"]], found["pageInfo"]["endCursor"] if found["pageInfo"]["hasNextPage"] else None
+
+    return read
+
+
+def pages(
+    fetch: Callable[[str | None], dict], read: Callable[[dict], tuple[list, str | None]] = _listed, first: str | None = "*", tries: int = 3, wait: float = 2.0, pause: float = 1.5, sleep: Callable[[float], None] = time.sleep
+) -> Iterator[dict]:
     """Records of a cursor-paged source: each page is tried several times, pages are paced, the end is a page without a cursor."""
-    cursor: str | None = "*"
-    while cursor:
+    cursor, more = first, True
+    while more:
         for k in range(tries):
             try:
-                page = fetch(cursor)
+                records, cursor = read(fetch(cursor))
                 break
             except OSError:
                 if k == tries - 1:
                     raise
                 sleep(wait)
-        yield from page["results"]
-        cursor = page.get("meta", {}).get("next_cursor")
-        if cursor:
+        yield from records
+        more = cursor is not None
+        if more:
             sleep(pause)
 
 
+def enrich(df: DataFrame, key: str, clients: list[Callable[[object], str | None]], found: str = "found") -> DataFrame:
+    """``found`` for each row: the answer of the first client that has one for its ``key``; a client that fails has none.
+
+    Each distinct key is asked once, by the task that holds it, whatever the
+    number of rows with it; a null key is not asked.
+    """
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def one(k: object) -> str | None:
+            for client in clients:
+                try:
+                    if (told := client(k)) is not None:
+                        return told
+                except Exception:  # noqa: BLE001  a client may fail in any way; the next is asked
+                    continue
+            return None
+
+        for frame in frames:
+            yield frame.assign(**{found: [one(k) for k in frame[key]]})
+
+    told = keys.mapInPandas(ask, StructType([*keys.schema.fields, StructField(found, StringType())]))
+    return df.join(told, key, "left")
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that :func:`writers.append_csv` has put into ``path``, as strings, under the names of its header file."""
+    header = spark.read.text(f"{path}/_header").first()[0]  # one line
+    names = header.split(",")
+    return spark.read.option("escape", '"').option("multiLine", "true").schema(", ".join(f"`{n}` string" for n in names)).csv(f"{path}/rows")
+
+
 def with_batch(df: DataFrame, size: int, order: str) -> DataFrame:
     """Numbered batches of ``size`` rows by ``order``, without a sort in one task.
 
     Rows are cut into ranges of ``order``; the counts of earlier ranges and the
     place inside a range give the number.
     """
-    ranged = df.repartitionByRange(order).withColumn("_range", F.spark_partition_id())
+    ranged = cut(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))  # numbered once
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select("_range", before.alias("_before"))
