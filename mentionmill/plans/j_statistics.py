@@ -48,22 +48,41 @@ def j03(spark, d):
     return rounded(cells(spark, d), "pct").select("a", "b", "pct")
 
 
-@query("J04_fisher_reference")
+LC = "(lgamma({0} + 1) - lgamma({1} + 1) - lgamma({0} - ({1}) + 1))"
+
+
+def hypergeometric(rows: str) -> str:
+    """The two-sided probability of each of ``rows(key, x, r, c, n)``: cell, its margins and the total; sums of all tables no likelier."""
+    one = f"{LC.format('r', 'k')} + {LC.format('(n - r)', '(c - k)')} - {LC.format('n', 'c')}"
+    return f""", h AS ({rows}), each AS (SELECT key, x, k, {one} AS l FROM (SELECT *, unnest(range(greatest(0, r + c - n), least(r, c) + 1)) AS k FROM h)),
+    own AS (SELECT key, l AS lx FROM each WHERE k = x), tested AS (SELECT key, round(least(1.0, sum(exp(l))), 6) AS p FROM each JOIN own USING (key) WHERE l <= lx + 1e-7 GROUP BY key)"""
+
+
+@query(
+    "J04_fisher_reference",
+    ALL + ", t AS (SELECT trunc(sum(raw))::BIGINT AS t FROM cell)" + hypergeometric("SELECT x AS key, x, t AS r, t AS c, 3 * t - x AS n FROM (SELECT DISTINCT trunc(raw)::BIGINT AS x FROM cell WHERE raw > 0), t")
+    + " SELECT a, b, round(raw, 6) AS raw, coalesce(p, 1.0) AS p FROM cell LEFT JOIN tested ON raw > 0 AND key = trunc(raw)::BIGINT",
+)
 def j04(spark, d):
     from mentionmill.runtime import ship
 
     ship(spark)
-    return S.fisher_reference(cells(spark, d)).select("a", "b", "raw", "p")
+    return rounded(S.fisher_reference(cells(spark, d)).select("a", "b", "raw", "p"), "raw", "p")
 
 
-@query("J04_fisher_margins")
+@query(
+    "J04_fisher_margins",
+    ALL + ", ca AS (SELECT entity AS a, count(*) AS na FROM mention WHERE category = 'Treatment' GROUP BY 1), cb AS (SELECT entity AS b, count(*) AS nb FROM mention WHERE category = 'Cancer' GROUP BY 1)"
+    + hypergeometric("SELECT a || '|' || b AS key, papers AS x, na AS r, nb AS c, (SELECT count(DISTINCT paper_id) FROM mention) AS n FROM cell JOIN ca USING (a) JOIN cb USING (b)")
+    + " SELECT a, b, papers, p FROM cell JOIN tested ON key = a || '|' || b",
+)
 def j04m(spark, d):
     from mentionmill.runtime import ship
 
     ship(spark)
     m = mention(spark, d)
     n = lambda k, name: m.where(C("category") == k).groupBy(C("entity").alias(name)).agg(F.count("*").alias(f"n_{name}"))
-    return S.fisher_margins(cells(spark, d), n("Treatment", "a"), n("Cancer", "b"), m.select("paper_id").distinct().count()).select("a", "b", "papers", "p")
+    return S.fisher_margins(cells(spark, d), n("Treatment", "a"), n("Cancer", "b"), m.select("paper_id").distinct().count()).select("a", "b", "papers", F.round("p", 6).alias("p"))
 
 
 def tested(spark, d):

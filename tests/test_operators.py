@@ -229,3 +229,60 @@ def test_stream_resumes(spark, tmp_path):
 def test_per_period(spark):
     got = {(r.kind, r.period): r.n for r in trends.per_period(spark.createDataFrame([(dt.date(2024, 1, 3),), (None,)], "d date"), "d").collect()}
     assert got == {("year", "2024"): 1, ("month", "2024-01"): 1, ("week", "2024-01-01/2024-01-07"): 1}
+
+
+def test_letters_are_not_research(spark):
+    """Phrases in full, not taken from the list that the rule uses."""
+    from mentionmill.operators import rules
+
+    titles = ["Authors response to the letter", "Author comment: a view", "Commentary on care", "Guest editorial of May", "In reply to: Smith", "From the Editor's desk", "A trial of vemurafenib in melanoma", "Responses of authored cells"]
+    rows = spark.createDataFrame([(t,) for t in titles], "title string")
+    assert [r[0] for r in rows.select(rules.not_research(rows.title)).collect()] == [True] * 6 + [False] * 2
+
+
+def test_texts_are_not_broadcast_for_a_dictionary(spark):
+    from mentionmill.operators import dictionary
+
+    texts = spark.createDataFrame([(1, "MET amplification in lung cancer"), (2, "METHOD met"), (3, None)], "paper_id long, text string")
+    few = spark.createDataFrame([("MET",), ("lung cancer",), ("amplification in",), ("!!",)], "term string")
+    want = [(1, "MET"), (1, "amplification in"), (1, "lung cancer")]
+    assert sorted(map(tuple, dictionary.match_terms(texts, few, "paper_id").collect())) == want
+    whole = dictionary.FEW
+    try:
+        dictionary.FEW = 2  # the way of long lists
+        found = dictionary.match_terms(texts, few, "paper_id")
+        assert sorted(map(tuple, found.collect())) == want
+        assert sorted(map(tuple, dictionary.match_substrings(texts, few, "paper_id").collect())) == sorted([*want, (2, "MET")])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BuildLeft" not in plan.split("== Initial Plan ==")[-1]
+    finally:
+        dictionary.FEW = whole
+
+
+def test_paged_sources_and_clients(spark):
+    from mentionmill.sources import readers
+
+    asked = []
+
+    def fetch(after):
+        asked.append(after)
+        at = int(after or 0)
+        return {"data": {"x": {"edges": [{"node": {"id": k}} for k in range(at, min(at + 2, 5))], "pageInfo": {"hasNextPage": at + 2 < 5, "endCursor": str(at + 2)}}}}
+
+    assert [r["id"] for r in readers.pages(fetch, readers.connection("x"), first=None, sleep=lambda s: None)] == [0, 1, 2, 3, 4] and asked == [None, "2", "4"]
+    rows = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), (None,)], "k string")
+    clients = [lambda k: {"a": "one"}[k], lambda k: "two" if k == "b" else None]
+    assert sorted(map(str, readers.enrich(rows, "k", clients).collect())) == sorted(map(str, [spark.createDataFrame([(k, v)], "k string, found string").first() for k, v in (("a", "one"), ("a", "one"), ("b", "two"), ("c", None), (None, None))]))
+
+
+def test_graph_files_and_appended_rows(spark, tmp_path):
+    from mentionmill.sources import readers, writers
+
+    vertices, edges = [('a "b" <c>', "Gene"), ("d & e", "Cancer")], [('a "b" <c>', "d & e", 2.5)]
+    assert writers.read_gml(writers.gml(vertices, edges)) == (vertices, edges)
+    rows = spark.createDataFrame([(1, 'x, "y"\nz')], "id long, text string")
+    for _ in range(2):
+        writers.append_csv(rows, f"{tmp_path}/log")
+    assert [tuple(r) for r in readers.read_appended(spark, f"{tmp_path}/log").collect()] == [("1", 'x, "y"\nz')] * 2
+    header = [p for p in (tmp_path / "log" / "_header").iterdir() if p.name.startswith("part-")]
+    assert [p.read_text() for p in header] == ["id,text\n"]
