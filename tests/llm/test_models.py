@@ -184,6 +184,51 @@ def test_toxicity_on_held_out_texts(spark, make):
     assert toxicity.expected_severity(make([]), model).count() == 0
 
 
+def test_severity_equals_plain_sums(make):
+    """Scores from each distinct feature's weight, thresholds and grades, without arrays."""
+    import math
+
+    r = random.Random(3)
+    features = toxicity.Features()
+    vocabulary = ["idiot", "clown", "ab", "Fool", "été", "x1y", "loween"]
+    weights = {}
+    for w in vocabulary[:5]:
+        for f in features.of_word(w.lower()):
+            weights[f] = r.uniform(0, 2)
+    theta = [0.5, 1.5, 4.0]
+    model = (np.array(sorted(weights)), np.array([weights[k] for k in sorted(weights)]), np.array(theta))
+    texts = [" ".join(r.choices(vocabulary, k=r.randint(0, 6))) for _ in range(40)] + ["", None, "idiot idiot IDIOT", "idiotic-clown"]
+    got = {x.doc_id: x for x in toxicity.expected_severity(make(list(enumerate(texts))), model).collect()}
+    for k, text in enumerate(texts):
+        seen = {f for w in re.findall(r"[^\W\d_]+", (text or "").lower()) for f in features.of_word(w)}
+        over = [1 / (1 + math.exp(t - sum(weights.get(f, 0) for f in seen))) for t in theta]
+        each = [a - b for a, b in zip([1, *over], [*over, 0])]
+        assert got[k].expected_severity == pytest.approx(sum(g * p for g, p in enumerate(each)))
+        assert each[got[k].grade] == pytest.approx(max(each)) and got[k].p_toxic == pytest.approx(over[0]) and got[k].toxic == (over[0] > 0.5)
+
+
+def test_fit_is_a_maximum():
+    """No small step of a weight or threshold raises the likelihood that the fit maximises."""
+    r = random.Random(7)
+    features = [np.array([f for f in range(5) if r.random() < 0.4], np.uint32) for _ in range(300)]
+    y = np.array([min(3, max(0, round(sum(0.9 for _ in f) + r.gauss(-1, 1)))) for f in features])
+    ids, w, theta = toxicity.fit(features, y, np.arange(5), steps=6000, rate=0.02)
+    weight = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y == 0).sum()))
+
+    def value(w, theta):
+        over = [[1.0, *(1 / (1 + np.exp(t - w[f].sum())) for t in theta), 0.0] for f in features]
+        return sum(c * np.log(o[k] - o[k + 1]) for c, o, k in zip(weight, over, y)) / len(y) - 1e-4 * (w**2).sum() / 2
+
+    best = value(w, theta)
+    for k in range(5):
+        for step in (-0.02, 0.02):
+            if w[k] + step >= 0:
+                assert value(w + step * np.eye(5)[k], theta) < best + 1e-5
+    for k in range(3):
+        for step in (-0.02, 0.02):
+            assert value(w, theta + step * np.eye(3)[k]) < best + 1e-5
+
+
 def test_pipeline_stages(spark, make, tmp_path):
     r = random.Random(9)
     prose = lambda n: " ".join(f"w{r.randrange(5000)}" for _ in range(n))
@@ -207,7 +252,24 @@ def test_pipeline_stages(spark, make, tmp_path):
     assert set(left[0]) == everything - {300, 301, 303}
     assert sum("shared by all" in x.text for x in left[1].values()) == 1 and all(x.n_chars == len(x.text) for x in left[1].values())
     assert set(left[2]) == set(left[1]) - {200, 201} and set(left[3]) == set(left[2]) - {302}
-    out = corpus_pipeline.run(spark, folder)
-    assert {p.doc_id for p in out.collect()} == set(left[3])
+    out = corpus_pipeline.run(spark, folder).collect()
+    assert {p.doc_id for p in out} == set(left[3])
+    # The packed rows of a plain run: the shared line is left in its first document only, all else is as it came.
+    from tokenizers import Tokenizer
+
+    t, texts = Tokenizer.from_file(PATH), {i: x for i, x, *_ in rows}
+    want = {}
+    for i in left[3]:
+        text = texts[i] if i < 101 else texts[i].split("\n")[0]
+        ids = t.encode(text, add_special_tokens=False).ids + [0]
+        want[i] = [(k // 2048, k, len(part := ids[k : k + 2048]), zlib.crc32(np.array(part, "<u4").tobytes())) for k in range(0, len(ids), 2048)]
+    got, sequences = defaultdict(list), defaultdict(list)
+    for p in out:
+        got[p.doc_id].append((p.piece, p.start, p.length, p.ids_crc32))
+        sequences[p.sequence_id].append((p.offset, p.length))
+    assert {i: sorted(x) for i, x in got.items()} == want
+    for places in sequences.values():
+        places.sort()
+        assert [o for o, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))] and sum(n for _, n in places) <= 2048
 
 
