@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mentionmill import fixed_values as V
 from mentionmill.functions.text import quoted
+from mentionmill.runtime import cut
 
 DATE = r"^\d{4}-\d{2}-\d{2}$"
 WORD_COUNT = r"\b[a-zA-Z]{2,}\b"
@@ -70,10 +71,10 @@ def first_of(df: DataFrame, keys: list[Column], order: str) -> DataFrame:
 
 def funnel(df: DataFrame, id_col: str = "paper_id", order: str = "ingest_ord") -> DataFrame:
     """``reason, n``: rows that each rule removes, then repeats by id and by title and authors, and what is kept."""
-    told = df.withColumn("reason", reject_reason())
+    told = cut(df.select(id_col, order, F.lower("title").alias("_title"), F.lower("authors").alias("_authors"), reject_reason().alias("reason")))  # the rules are run once
     good = told.where(F.col("reason").isNull())
     by_id = good.withColumn("_n", F.row_number().over(Window.partitionBy(id_col).orderBy(order)))
-    once = by_id.where("_n = 1").withColumn("_m", F.row_number().over(Window.partitionBy(F.lower("title"), F.lower("authors")).orderBy(order)))
+    once = by_id.where("_n = 1").withColumn("_m", F.row_number().over(Window.partitionBy("_title", "_authors").orderBy(order)))
     parts = [
         told.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count("*").alias("n")),
         by_id.where("_n > 1").groupBy(F.lit("repeated id").alias("reason")).agg(F.count("*").alias("n")),
