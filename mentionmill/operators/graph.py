@@ -24,6 +24,16 @@ def edges(mentions: DataFrame, studies: DataFrame, ordered: bool = False) -> Dat
     return pairs.groupBy("src", "dst").agg((times * F.count("*")).alias("papers"), (times * F.sum("weight")).alias("weight"))
 
 
+def edges_of(mentions: DataFrame, studies: DataFrame, names: list[str]) -> DataFrame:
+    """The rows of ``edges`` with an end in ``names``: only papers that name one of them are joined, not all pairs of all papers."""
+    m = mentions.select("paper_id", "entity").distinct()
+    named = m.where(F.col("entity").isin(names)).withColumnRenamed("entity", "named")
+    pairs = named.join(studies.select("paper_id", "weight"), "paper_id").join(m, "paper_id")
+    pairs = pairs.where((F.col("named") < F.col("entity")) | ((F.col("named") > F.col("entity")) & ~F.col("entity").isin(names)))
+    pairs = pairs.select(F.least("named", "entity").alias("src"), F.greatest("named", "entity").alias("dst"), "weight")
+    return pairs.groupBy("src", "dst").agg(F.count("*").alias("papers"), F.sum("weight").alias("weight"))
+
+
 def symmetric(edge: DataFrame) -> DataFrame:
     return edge.unionByName(edge.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "papers", "weight"))
 
@@ -80,9 +90,11 @@ def network_query(edge: DataFrame, vertex: DataFrame, consensus: DataFrame, canc
     variant is sensitive or resistant to, by the sum of both weights; and other
     diseases by their weights with the variant and with the disease. Each has
     the top ``k``; highlighted are those at the percentile of all candidates and
-    at the least weight.
+    at the least weight. Of ``edge`` only rows with one of both names are read,
+    see ``edges_of``.
     """
-    both = symmetric(edge).select("src", "dst", "weight")
+    both = symmetric(edge).select("src", "dst", "weight").where(F.col("src").isin(cancer, variant))
+    both = cut(both)  # read several times below
     excluded = [t.lower() for t in V.EXCLUDED_TREATMENTS]
     treatments = vertex.where((F.col("category") == "Treatment") & ~F.lower("id").isin(excluded)).select("id")
     with_cancer = both.where(F.col("src") == cancer).join(treatments, F.col("dst") == F.col("id")).select(F.col("dst").alias("name"), F.col("weight").alias("wc"))

@@ -40,7 +40,8 @@ def l03(spark, d):
 
 @query("L04_neighbours", ALL + "SELECT dst AS id, round(weight, 6) AS weight, category FROM sym JOIN vertex ON id = dst WHERE src = 'Brand#1'")
 def l04(spark, d):
-    return G.neighbours(edges(spark, d), G.vertices(mention(spark, d)), "Brand#1").withColumn("weight", F.round("weight", 6))
+    m = mention(spark, d)
+    return G.neighbours(G.edges_of(m, O.with_weight(study(spark, d), V.GRAPH_WEIGHTS, 0.5), ["Brand#1"]), G.vertices(m), "Brand#1").withColumn("weight", F.round("weight", 6))
 
 
 @query("L05_degree", ALL + "SELECT id, count(dst) AS degree, round(count(dst) / ((SELECT count(*) FROM vertex) - 1)::DOUBLE, 6) AS centrality FROM vertex LEFT JOIN sym ON src = id GROUP BY id")
@@ -120,8 +121,9 @@ def agreed(spark, d):
     SELECT section, name, rank::INT AS rank, round(weight, 6) AS weight, round(weight, 6) >= round(cut, 6) AND weight >= least AS highlight FROM ranked WHERE rank <= 6""",
 )
 def l13(spark, d):
-    edge = edges(spark, d).where(C("src").isin(CANCER, VARIANT) | C("dst").isin(CANCER, VARIANT)).withColumn("weight", F.round("weight", 6))
-    out = G.network_query(edge, G.vertices(mention(spark, d)), agreed(spark, d), CANCER, VARIANT)
+    m = mention(spark, d)
+    edge = G.edges_of(m, O.with_weight(study(spark, d), V.GRAPH_WEIGHTS, 0.5), [CANCER, VARIANT]).withColumn("weight", F.round("weight", 6))
+    out = G.network_query(edge, G.vertices(m), agreed(spark, d), CANCER, VARIANT)
     return out.withColumn("weight", F.round("weight", 6))
 
 

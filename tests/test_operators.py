@@ -167,6 +167,9 @@ def test_graph(spark):
     s = spark.createDataFrame([(1, 1.0), (2, 0.5)], "paper_id int, weight double")
     assert {(r.src, r.dst, r.papers, r.weight) for r in graph.edges(m, s).collect()} == {("A", "B", 2, 1.5), ("A", "C", 1, 0.5), ("B", "C", 1, 0.5)}
     assert {r.weight for r in graph.edges(m, s, ordered=True).collect()} == {3.0, 1.0}
+    for names in (["A"], ["B", "C"], ["A", "B", "C"], ["none"], []):
+        want = [tuple(r) for r in graph.edges(m, s).collect() if {r.src, r.dst} & set(names)]
+        assert sorted(tuple(r) for r in graph.edges_of(m, s, names).collect()) == sorted(want)
 
 
 def test_parents_of_deep_chains(spark):
