@@ -61,4 +61,7 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": minhash_dedup.SQL, "op2_line_dedup": line_dedup.SQL, "op4_substring_dedup": substring_dedup.SQL, "op5_quality_rules": quality.SQL, "op9_decontamination": decontaminate.SQL}
+    return {
+        "op1_near_dedup": minhash_dedup.SQL, "op2_line_dedup": line_dedup.SQL, "op3_suffix_dedup": suffix_dedup.SQL, "op4_substring_dedup": substring_dedup.SQL,
+        "op5_quality_rules": quality.SQL, "op6_sharding": sharding.SQL, "op9_decontamination": decontaminate.SQL,
+    }

@@ -250,3 +250,33 @@ def repeated_bytes(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     cells = B.ask(blocks, [grams], 2, ask_cells, _answer_cells)
     windows = B.ask(blocks, [grams, cells], 3, ask_windows, B.answer_repeated)
     return B.finish(blocks, [grams, cells, windows], told, schema)
+
+
+#: Names of strings double from one byte to 256 (the number of the first start of an equal string, so nothing is hashed); two of them name 400 bytes.
+SQL = r"""
+WITH doc AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS d, hex(encode(coalesce(text, ''))) AS body FROM documents
+), b1 AS MATERIALIZED (
+  SELECT d, unnest(found) AS x, generate_subscripts(found, 1) AS p FROM (SELECT d, regexp_extract_all(body, '..') AS found FROM doc)
+), n1 AS (
+  SELECT d, p, ('0x' || x)::BIGINT AS n, row_number() OVER () AS g FROM b1
+),
+@doubling
+w AS (
+  SELECT d, p, n, lead(n, 144) OVER (PARTITION BY d ORDER BY p) AS m FROM n256
+), hit AS (
+  SELECT d, p FROM (SELECT d, p, count(*) OVER (PARTITION BY n, m) AS c FROM w WHERE m IS NOT NULL) WHERE c > 1
+), cell AS (
+  SELECT b.d, b.p, b.x, coalesce(b.p - max(h.p) OVER (PARTITION BY b.d ORDER BY b.p) < 400, false) AS gone FROM b1 b LEFT JOIN hit h ON b.d = h.d AND b.p = h.p
+), edge AS (
+  SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY d ORDER BY p) AS rise FROM cell
+), told AS (
+  SELECT d, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (rise) AS n_spans, string_agg(x, '' ORDER BY p) FILTER (NOT gone) AS kept FROM edge GROUP BY d
+)
+SELECT doc_id, coalesce(n_bytes, 0)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM doc LEFT JOIN told USING (d)
+""".replace("@doubling", "".join(
+    f"l{2 * k} AS (SELECT d, p, g, n, lead(n, {k}) OVER (PARTITION BY d ORDER BY p) AS m FROM n{k}),\n"
+    f"n{2 * k} AS (SELECT d, p, g, min(g) OVER (PARTITION BY n, m) AS n FROM l{2 * k} WHERE m IS NOT NULL),\n"
+    for k in (1, 2, 4, 8, 16, 32, 64, 128)
+))
