@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mentionmill.llm import decontaminate, extraction, line_dedup, minhash_dedup, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity
+from mentionmill.llm import centroid_clustering, decontaminate, embedding_dedup, extraction, line_dedup, minhash_dedup, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity, vector_codes
 from mentionmill.llm.common import table
 
 
@@ -56,12 +56,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.expected_severity(docs, toxicity.fit_on(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_vectors(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def queries():
-    return {f.__name__: f for f in (op1_near_dedup, op2_line_dedup, op3_suffix_dedup, op4_substring_dedup, op5_quality_rules, op6_sharding, op7_packing, op8_html_extraction, op9_decontamination, op10_toxicity)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_line_dedup, op3_suffix_dedup, op4_substring_dedup, op5_quality_rules, op6_sharding, op7_packing, op8_html_extraction, op9_decontamination, op10_toxicity, op11_centroid_clustering, op12_vector_codes, op13_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_near_dedup": minhash_dedup.SQL, "op2_line_dedup": line_dedup.SQL, "op3_suffix_dedup": suffix_dedup.SQL, "op4_substring_dedup": substring_dedup.SQL,
         "op5_quality_rules": quality.SQL, "op6_sharding": sharding.SQL, "op9_decontamination": decontaminate.SQL,
+        "op11_centroid_clustering": centroid_clustering.SQL, "op12_vector_codes": vector_codes.SQL, "op13_embedding_dedup": embedding_dedup.SQL,
     }
