@@ -5,30 +5,65 @@ They are data, in natural order, and are used by the rules of
 rule is held against.
 """
 
-# Titles that begin with one of these (any case, no word boundary) are not
-# articles. Longer phrases that begin with a shorter one here are covered by it.
+# Titles that begin with one of these (any case, no word boundary) are not articles.
 TITLE_PREFIXES = [
-    "Acknowledgments", "ADOBE PDF", "Addendum", "Advertisement", "Additional figure", "Additional Material", "Additional Table",
-    "All Supplemental Data", "All Supplemental Figures", "All Supplementary Data", "All Supplementary Figures",
-    "All Supplementary Tables, Figures and Methods", "Analysis Methods Supplement", "Appendix", "Article figures", "Author Correction",
-    "Auxiliary Supplementary File", "Caption for Suppl Fig.", "Captions of supplementary", "Combined supplemental figures", "Contents Vol",
-    "Contents:", "Corrigendum", "Correction", "Data Augmentation", "Data associated with", "Data and code", "Data and analysis scripts",
-    "Data File", "Data for", "Data from", "Data not shown", "Data and metadata", "Data on", "Data S", "Data.zip", "Dataset",
-    "Description of Supplemental Figures", "Description of supplementary", "Download Supplementary", "eFigure", "Erratum", "Extended Data",
-    "Expression of Concern", "Fig", "Instructions for Authors", "File", "Funding statement", "http://", "https://", "Legend for",
-    "Legend from", "Legend of", "Legend to", "Legends for", "Legends from", "Legends of", "Legends to", "Legends Supplemental Figures",
-    "Link to Supplementary", "List of figures", "List of tables", "List of plates", "Manuscript Figures", "Mat & Met",
-    "Material and Methods", "Materials and Methods", "Merged Supplementary", "Metadata and data", "Metadata record for",
-    "Metadata supporting", "Methods References", "Methods and Materials from", "Methods and Supplementary", "Methods and Tables",
-    "Methods file", "Methods from", "Methods, Figures", "Methods, Table", "MET supplementary methods", "methods_", "Movie", "Multimedia",
-    "Methodology and Method", "Online supplement", "Online-only supplementary", "Online-Only Tables", "Original Western Blot Data",
-    "Revised Supplementary", "S Figure", "S Table", "S-Figure", "S1 Legend", "S1 from", "S1.", "S1:", "S2 from", "S2.", "S2:", "S3 from",
-    "S3.", "S3:", "S4 from", "S4.", "S4:", "S5 from", "S5.", "S5:", "S6 from", "S6.", "S6:", "S7 from", "S7.", "S7:", "S8 from", "S8.",
-    "S8:", "S9 from", "S9.", "S9:", "SI Figure", "SI Methods", "SI Table", "SI materials", "SFigure", "SF-", "SF1", "Sl Figure", "Suppl",
-    "Supporting Data", "Supporting Document", "Supporting Figure", "Supporting File", "Supporting Information", "Supporting Legend",
-    "Supporting Materials", "Supporting Methods", "Supporting Table", "Supporting Text", "Supporting Video", "Suplementary",
-    "Supllementary Figure", "Suplplementary Figure Legend", "Suplpementary Table", "Suupplementary Tables", "Table", "Validation Figures",
-    "Video", "Western Blots from", "Whole Slide Image",
+    "Acknowledgments", "ADOBE PDF", "Addendum", "Advertisement", "Additional figure", "Additional Material",
+    "Additional Table", "All Supplemental Data", "All Supplemental Figures",
+    "All Supplemental Figures, Tables and Legends", "All Supplementary Data",
+    "All Supplementary Figures", "All Supplementary Figures and Tables",
+    "All Supplementary Tables, Figures and Methods", "Analysis Methods Supplement",
+    "Appendix", "Article figures", "Author Correction", "Auxiliary Supplementary File",
+    "Caption for Suppl Fig.", "Captions of supplementary", "Combined supplemental figures",
+    "Contents Vol", "Contents:",
+    "Corrigendum", "Correction", "Correction to", "Correction:", "Corrections to",
+    "Data Augmentation", "Data associated with", "Data and code", "Data and analysis scripts", "Data File",
+    "Data for", "Data from", "Data not shown", "Data and metadata",
+    "Data on", "Data S", "Data Spreadsheet", "Data Supplement", "Data.zip",
+    "Dataset", "Dataset and metadata", "Dataset for", "Dataset related to",
+    "Description of Supplemental Figures", "Description of supplementary",
+    "Download Supplementary", "eFigure", "Erratum", "Extended Data", "Expression of Concern",
+    "Fig", "Fig.", "Fig Supp", "FigS", "Figure", "Figure S", "Figures", "Instructions for Authors",
+    "File", "Funding statement", "http://", "https://",
+    "Legend for", "Legend from", "Legend of", "Legend to",
+    "Legends for", "Legends from", "Legends of", "Legends to",
+    "Legends Supplemental Figures", "Link to Supplementary",
+    "List of figures", "List of tables", "List of plates", "Manuscript Figures",
+    "Mat & Met", "Material and Methods", "Materials and Methods",
+    "Merged Supplementary", "Metadata and data", "Metadata record for",
+    "Metadata supporting", "Methods References", "Methods and Materials from",
+    "Methods and Supplementary", "Methods and Tables", "Methods file",
+    "Methods from", "Methods, Figures", "Methods, Table", "MET supplementary methods",
+    "methods_", "Movie", "Multimedia", "Methodology and Method", "Online supplement",
+    "Online Supplementary Materials", "Online Supplementary Tables",
+    "Online-only supplementary", "Online-Only Tables",
+    "Original Western Blot Data", "Revised Supplementary", "S Figure", "S Table",
+    "S-Figure", "S1 Legend", "S1 from", "S1.", "S1:", "S2 from", "S2.", "S2:",
+    "S3 from", "S3.", "S3:", "S4 from", "S4.", "S4:", "S5 from", "S5.", "S5:",
+    "S6 from", "S6.", "S6:", "S7 from", "S7.", "S7:", "S8 from", "S8.", "S8:",
+    "S9 from", "S9.", "S9:", "SI Figure", "SI Methods", "SI Table",
+    "SI materials", "SI tables and figures", "SFigure", "SF-", "SF1",
+    "Sl Figure", "Supplement", "Supplement Material", "Supplement Table",
+    "Supplemental", "Supplemental Data", "Supplemental Figure",
+    "Supplemental Figures", "Supplemental Table", "Supplementary",
+    "Supplementary Data", "Supplementary Figure", "Supplementary Figures",
+    "Supplementary Legends", "Supplementary Methods", "Supplementary Movie",
+    "Supplementary Table", "Supplementary Tables", "Supplementary Text",
+    "Supplementary Video", "SupplementaryFigures", "Supplementary_Figure",
+    "Supplementray Figures", "Supplementray Tables", "Supplymentary Figure",
+    "Supplymentary Figures", "Supplymentary Table", "Supporting Data",
+    "Supporting Document", "Supporting Figure", "Supporting Figures",
+    "Supporting File", "Supporting Information", "Supporting Legend",
+    "Supporting Legends", "Supporting Materials", "Supporting Methods",
+    "Supporting Table", "Supporting Tables", "Supporting Text",
+    "Supporting Video", "Suppl", "Suppl Figure", "Suppl Figures", "Suppl File",
+    "Suppl Info", "Suppl Information", "Suppl Legends", "Suppl List of Videos, Tables and Methods",
+    "Suppl Materials and Methods", "Suppl Methods", "Suppl Movie", "Suppl Table",
+    "Suppl Video", "Supplimentary Figure", "Supplimentary Methods",
+    "Supplimentary Tables", "Supplimentary_Figure", "Suplementary", "Supllementary Figure",
+    "Suplplementary Figure Legend", "Suplpementary Table", "Supplrmentary Figures",
+    "Supplrmentary Tables", "Suppltable", "Suppltext", "Supplvideo",
+    "Suppl_Figure", "Suppl-Figure", "Suupplementary Tables", "Table", "Table of Content",
+    "Validation Figures", "Video", "Western Blots from", "Whole Slide Image",
 ]
 
 # Titles that hold one of these as whole words are not articles.
@@ -168,6 +203,29 @@ GRAPH_WEIGHTS = {
     "In vivo/Animal study": 0.8, "In vitro study": 0.7, "In silico study": 0.6, "Undefined": 0.1, "Other": 0.1,
 }
 
+# Patterns of model responses.
+RESPONSE_PAIR = r"Variant:\s*([\w\d.*-]+),\s*Gene:\s*([\w\d]+)"
+RESPONSE_PAIR_HGVS = r"Variant:\s*([\w\d.*>-]+),\s*Gene:\s*([\w\d]+)"
+RESPONSE_TRIPLE = r"^(.+?)\s*\+\s*(.+?)\s*:\s*(\w+)"
+RESPONSE_LABELLED = r"^(\S.+?)\s*:\s*(\w+)"
+
+# Patterns that normalise titles and abstracts, and what replaces them, in order.
+TITLE_STEPS = [
+    (r"(?i)^\s*\*?\[?(?:invited|keynote|winner|regular paper|blog)\]?\*?\s*[:\-]*", ""),
+    (r"[_\-]{5,}", ""),
+    (r"(?i)^\s*_*Abstract_*\s*[:\-]*", ""),
+    (r"^\s*[.,\-:;/=\s]+", ""),
+    (r"^\[([^\]]+)\]\.?\s*$", "$1"),
+]
+ABSTRACT_STEPS = [
+    (r"^\s*:+\s*", ""),
+    (r"[_\-]{5,}", ""),
+    (r"(?i)^\s*_*Abstract_*\s*[:\-]*", ""),
+    (r"^\s*[.,\-:;=\s]+", ""),
+    (r"\s*<[^>]+>\s*", " "),
+    (r"[,.]{2,}", "."),
+]
+
 VALID_LABELS = ["Sensitive", "Resistant", "Diagnostic"]
 WEAK_LABELS = ["Unknown", "Unrelated"]
 

@@ -75,30 +75,12 @@ def sentence_case(c: Column) -> Column:
     return F.when(all_caps(c), F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))).otherwise(c)
 
 
-#: Patterns and what replaces them, in order.
-TITLE_STEPS = [
-    (r"(?i)^\s*\*?\[?(?:invited|keynote|winner|regular paper|blog)\]?\*?\s*[:\-]*", ""),
-    (r"[_\-]{5,}", ""),
-    (r"(?i)^\s*_*Abstract_*\s*[:\-]*", ""),
-    (r"^\s*[.,\-:;/=\s]+", ""),
-    (r"^\[([^\]]+)\]\.?\s*$", "$1"),
-]
-ABSTRACT_STEPS = [
-    (r"^\s*:+\s*", ""),
-    (r"[_\-]{5,}", ""),
-    (r"(?i)^\s*_*Abstract_*\s*[:\-]*", ""),
-    (r"^\s*[.,\-:;=\s]+", ""),
-    (r"\s*<[^>]+>\s*", " "),
-    (r"[,.]{2,}", "."),
-]
-
-
 def _steps(c: Column, steps: list[tuple[str, str]]) -> Column:
     return reduce(lambda x, s: F.regexp_replace(x, s[0], s[1]), steps, c)
 
 
 def normal_title(c: Column) -> Column:
-    return sentence_case(squeeze(_steps(c, TITLE_STEPS)))
+    return sentence_case(squeeze(_steps(c, V.TITLE_STEPS)))
 
 
 def normal_abstract(c: Column) -> Column:
@@ -106,7 +88,7 @@ def normal_abstract(c: Column) -> Column:
     c = F.when(F.lower(c).startswith("you have access") & (intro != ""), intro).otherwise(c)
     head = F.regexp_extract(c, r"(?is)\babstracts?\b.*", 0)
     c = F.when(c.startswith("//") & (head != ""), head).otherwise(c)
-    return sentence_case(squeeze(_steps(c, ABSTRACT_STEPS)))
+    return sentence_case(squeeze(_steps(c, V.ABSTRACT_STEPS)))
 
 
 def without_numbers(title: Column) -> Column:

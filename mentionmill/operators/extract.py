@@ -9,11 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-PAIR = r"Variant:\s*([\w\d.*-]+),\s*Gene:\s*([\w\d]+)"
-PAIR_HGVS = r"Variant:\s*([\w\d.*>-]+),\s*Gene:\s*([\w\d]+)"
-TRIPLE = r"^(.+?)\s*\+\s*(.+?)\s*:\s*(\w+)"
-LABELLED = r"^(\S.+?)\s*:\s*(\w+)"
-
+from mentionmill import fixed_values as V
 
 def windows(tokens: Column, size: int = 512, stride: int = 256, drop_tail: bool = False) -> Column:
     """Overlapping windows of a token array. All tokens are covered; ``drop_tail`` stops at the first short window."""
@@ -38,20 +34,20 @@ def keep_labels(entities: DataFrame, labels: list[str], stop: list[str]) -> Data
 
 def response_pairs(text: Column, hgvs: bool = False) -> Column:
     """``(variant, gene)`` structs of a response. The plain pattern loses changes such as ``c.1A>G``; ``hgvs`` finds them."""
-    text, pattern = F.replace(text, F.lit("\n"), F.lit(" ")), F.lit(PAIR_HGVS if hgvs else PAIR)
+    text, pattern = F.replace(text, F.lit("\n"), F.lit(" ")), F.lit(V.RESPONSE_PAIR_HGVS if hgvs else V.RESPONSE_PAIR)
     return F.zip_with(F.regexp_extract_all(text, pattern, F.lit(1)), F.regexp_extract_all(text, pattern, F.lit(2)), lambda v, g: F.struct(v.alias("variant"), g.alias("gene")))
 
 
 def response_triples(df: DataFrame, column: str, *keys: str) -> DataFrame:
     """One row for each line ``variant + treatment : label``."""
-    lines = df.select(*keys, F.posexplode(F.split(column, "\n")).alias("line_no", "line")).where(F.col("line").rlike(TRIPLE))
-    return lines.select(*keys, "line_no", *[F.trim(F.regexp_extract("line", TRIPLE, i)).alias(n) for i, n in ((1, "variant"), (2, "treatment"), (3, "label"))])
+    lines = df.select(*keys, F.posexplode(F.split(column, "\n")).alias("line_no", "line")).where(F.col("line").rlike(V.RESPONSE_TRIPLE))
+    return lines.select(*keys, "line_no", *[F.trim(F.regexp_extract("line", V.RESPONSE_TRIPLE, i)).alias(n) for i, n in ((1, "variant"), (2, "treatment"), (3, "label"))])
 
 
 def response_labels(df: DataFrame, column: str, *keys: str) -> DataFrame:
     """One row for each line ``pair : label`` that holds both signs."""
-    lines = df.select(*keys, F.posexplode(F.split(column, "\n")).alias("line_no", "line")).where(F.col("line").contains("+") & F.col("line").rlike(LABELLED))
-    return lines.select(*keys, "line_no", F.regexp_extract("line", LABELLED, 1).alias("pair"), F.regexp_extract("line", LABELLED, 2).alias("label"))
+    lines = df.select(*keys, F.posexplode(F.split(column, "\n")).alias("line_no", "line")).where(F.col("line").contains("+") & F.col("line").rlike(V.RESPONSE_LABELLED))
+    return lines.select(*keys, "line_no", F.regexp_extract("line", V.RESPONSE_LABELLED, 1).alias("pair"), F.regexp_extract("line", V.RESPONSE_LABELLED, 2).alias("label"))
 
 
 def prompts(df: DataFrame, templates: list[str], *columns: str) -> DataFrame:
