@@ -54,7 +54,7 @@ over_titles(
 )
 
 
-@query("C04_normal_title", A + f"SELECT paper_id, {case_sql('t')} AS out FROM (SELECT paper_id, {squeeze_sql(steps_sql('title', T.TITLE_STEPS))} AS t FROM article)")
+@query("C04_normal_title", A + f"SELECT paper_id, {case_sql('t')} AS out FROM (SELECT paper_id, {squeeze_sql(steps_sql('title', V.TITLE_STEPS))} AS t FROM article)")
 def c04(spark, d):
     return article(spark, d).select("paper_id", T.normal_title(C("title")).alias("out"))
 
@@ -63,7 +63,7 @@ def c04(spark, d):
     "C05_normal_abstract",
     A + rf""", a AS (SELECT paper_id, CASE paper_id % 3 WHEN 0 THEN 'You have access, Introduction, ' || abstract WHEN 1 THEN '// x ABSTRACT: ' || abstract ELSE ': ' || abstract END AS t FROM article),
     b AS (SELECT paper_id, CASE WHEN starts_with(lower(t), 'you have access') AND regexp_matches(t, '(?i)\bintroduction\b') THEN regexp_extract(t, '(?is)\bintroduction\b.*') WHEN starts_with(t, '//') AND regexp_matches(t, '(?i)\babstracts?\b') THEN regexp_extract(t, '(?is)\babstracts?\b.*') ELSE t END AS t FROM a),
-    c AS (SELECT paper_id, {squeeze_sql(steps_sql('t', T.ABSTRACT_STEPS))} AS t FROM b) SELECT paper_id, {case_sql('t')} AS out FROM c""",
+    c AS (SELECT paper_id, {squeeze_sql(steps_sql('t', V.ABSTRACT_STEPS))} AS t FROM b) SELECT paper_id, {case_sql('t')} AS out FROM c""",
 )
 def c05(spark, d):
     k = C("paper_id") % 3

@@ -6,6 +6,9 @@ import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,22 +49,40 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_noted: ContextVar[list | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def swept() -> Iterator[None]:
+    """Drop, at the end of the block, all tables that jobs started within it have left: for callers that have written what they keep elsewhere."""
+    made: list[Scratch] = []
+    before = _noted.set(made)
+    try:
+        yield
+    finally:
+        _noted.reset(before)
+        for s in made:
+            s.drop("")
+
+
 class Scratch:
     """Tables of one job in the shared folder, by name; those no longer read are dropped."""
 
     def __init__(self, spark: SparkSession, job: str):
         self.spark, self.folder = spark, f"{shared_folder(spark)}/{job}-{uuid.uuid4().hex}"
+        if (noted := _noted.get()) is not None:
+            noted.append(self)
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def drop(self, *names: str) -> None:
-        """Delete tables, and let Spark's cleaner have the shuffle files of plans that are gone."""
+        """Delete tables (an empty name: all), and let Spark's cleaner have the shuffle files of plans that are gone."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
             path.getFileSystem(conf).delete(path, True)
         gc.collect()
         jvm.System.gc()

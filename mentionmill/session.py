@@ -15,6 +15,7 @@ def build(app: str = "mentionmill", master: str | None = None, **conf: str) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # a checkpoint goes with the last plan that reads it
     }
     for key, value in (defaults | conf).items():
         builder = builder.config(key, value)
