@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mentionmill.runtime import Scratch, cut, shared_folder, ship
 
-__all__ = ["LAST", "SEPARATORS", "WORD", "Scratch", "apart", "ascii_lower", "cut", "order_id", "shared_folder", "ship", "table", "tidy", "trimmed"]
+__all__ = ["LAST", "SEPARATORS", "WORD", "Scratch", "apart", "ascii_lower", "cut", "named", "order_id", "shared_folder", "ship", "table", "tidy", "trimmed"]
 
 #: Separators of the contracts' words: space and the ASCII controls from tab to carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
@@ -51,6 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(column: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def apart(df: DataFrame, text_col: str, replaced: tuple[str, ...]) -> tuple[DataFrame, Callable[[Column], list[Column]]]:
     """``__own`` (a struct of the columns besides the text and those ``replaced``) and ``__text``, so that no name clashes with inner ones.
 
@@ -58,8 +63,8 @@ def apart(df: DataFrame, text_col: str, replaced: tuple[str, ...]) -> tuple[Data
     """
     names = [c for c in df.columns if c not in replaced]
     others = [c for c in names if c != text_col]
-    own = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
-    return df.select(own.alias("__own"), F.col(f"`{text_col}`").alias("__text")), lambda text: [(text if c == text_col else F.col("__own")[c]).alias(c) for c in names]
+    own = F.struct(*[named(c) for c in others]) if others else F.struct(F.lit(0).alias("none"))
+    return df.select(own.alias("__own"), named(text_col).alias("__text")), lambda text: [(text if c == text_col else F.col("__own")[c]).alias(c) for c in names]
 
 
 def ascii_lower(text: Column) -> Column:

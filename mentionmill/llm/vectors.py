@@ -6,13 +6,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Integer components beyond this count as it, so that 64 squared differences fit a long.
-MOST = 1 << 26
+from mentionmill.llm.common import named
 
+__all__ = ["MOST", "bounded", "finite", "matrix", "named", "packed", "scaled", "unpacked"]
 
-def named(column: str) -> Column:
-    """The column of that very name, dots and all."""
-    return F.col("`" + column.replace("`", "``") + "`")
+#: Integer components beyond this count as it, so that 64 squared differences fit a long.
+MOST = 1 << 26
 
 
 def finite(vector: Column) -> Column:

@@ -73,3 +73,59 @@ def test_pipeline_with_clashing_columns_null_ids_and_no_rows(spark, make, tmp_pa
             step = spark.read.parquet(f"{tmp_path}/{empty}-{k}")
         ids = {r.doc_id for r in step.collect()}
         assert ids == (set() if empty else {*range(40), None})
+
+
+def odd(docs):
+    """With a dotted name, a name with a backtick, a map and a struct."""
+    extra = [F.lit("x").alias("a.b"), F.lit("y").alias("c`d"), F.create_map(F.lit("k"), F.col("doc_id")).alias("m"), F.struct(F.lit(1).alias("text")).alias("row")]
+    return docs.select("*", *extra)
+
+
+def test_stages_keep_odd_columns_and_unrelated_texts_of_one_id(spark, make, tmp_path):
+    spark.createDataFrame([(1, rows()[7][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    other = " ".join(f"z{k}" for k in range(60))
+    docs = odd(make([*rows(), (5, other, "s9"), (5, other, "s9"), (70, other + " end", "s8")])).drop("id", "words")
+    step = docs
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        out = stage(spark, step, str(tmp_path))
+        assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{k}")
+        step = spark.read.parquet(f"{tmp_path}/{k}")
+        if k == 2:
+            near = [r.doc_id for r in step.collect()]
+    got = step.collect()
+    assert sorted(near, key=str) == sorted([*range(40), None, 70], key=str)  # the other text of 5 is near 70, whose number is smaller
+    assert sorted((r.doc_id for r in got), key=str) == sorted([*(k for k in range(40) if k != 7), None, 70], key=str)
+    assert all(r["a.b"] == "x" and r["c`d"] == "y" and r["m"] == {"k": r.doc_id} and r["row"].text == 1 for r in got if r.doc_id is not None)
+
+
+def test_unrelated_texts_of_one_id_are_both_kept(spark, make, tmp_path):
+    docs = odd(make([(1, " ".join(f"a{k}" for k in range(30))), (1, " ".join(f"b{k}" for k in range(30))), (1, " ".join(f"b{k}" for k in range(30)))])).drop("id", "words")
+    got = corpus_pipeline.near_stage(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.text[0] for r in got) == ["a", "b"] and {r.doc_id for r in got} == {1}
+
+
+def test_pipeline_leaves_its_result_only(spark, make, tmp_path):
+    import gc
+    import time
+    from pathlib import Path
+
+    from mentionmill.runtime import shared_folder
+
+    docs = make(rows()).drop("id", "words")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, rows()[7][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert 7 not in {r.doc_id for r in out.select("doc_id").collect()}
+    left = [p for p in folder.iterdir() if p not in before and not p.name.startswith("rdd-")]
+    assert len(left) == 1 and [p.name for p in left[0].iterdir()] == ["stage-4"]
+    for _ in range(60):  # checkpoints go with their plans, when Spark's cleaner comes by
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        if not [p for p in folder.iterdir() if p not in before and p.name.startswith("rdd-") and any(p.iterdir())]:
+            break
+        time.sleep(0.5)
+    else:
+        raise AssertionError("checkpoints are left")
