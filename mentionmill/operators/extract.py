@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from mentionmill import fixed_values as V
+from mentionmill.operators.near_names import like_pairs
 
 def windows(tokens: Column, size: int = 512, stride: int = 256, drop_tail: bool = False) -> Column:
     """Overlapping windows of a token array. All tokens are covered; ``drop_tail`` stops at the first short window."""
@@ -87,24 +87,12 @@ def not_yet(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return todo.join(done.select(key).distinct(), key, "left_anti")
 
 
-@F.pandas_udf(IntegerType())
-def indel_ratio(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
-    """Similarity of two strings in percent: twice the matching characters over all characters; 0 where the characters they share cannot make ``least``."""
-
-    def ratio(x: str, y: str, low: int) -> int:
-        pair = SequenceMatcher(None, x or "", y or "", autojunk=False)
-        return round(100 * pair.ratio()) if round(100 * pair.quick_ratio()) >= low else 0
-
-    return pd.Series([ratio(x, y, low) for x, y, low in zip(a, b, least, strict=True)])
-
-
 def normalise_names(found: DataFrame, dictionary: DataFrame, key: str, least: int = 86) -> DataFrame:
     """``key, entity, name, how``: entities mapped to upper-cased dictionary names exactly, by each word that is a name, or by the likest name.
 
     The likest is looked for in the whole dictionary, for entities that the
-    first two ways leave over. A similarity of ``least`` bounds the lengths of
-    the names that can reach it, and the characters they share, so that only
-    names that cannot reach it go unscored. Each distinct entity is scored once.
+    first two ways leave over, by an index of bigrams that misses no name of
+    the similarity (``near_names.like_pairs``). Each distinct entity is scored once.
     """
     names = dictionary.select(F.upper("name").alias("name")).distinct()
     found = found.select(key, "entity", F.upper("entity").alias("_upper"))
@@ -113,11 +101,7 @@ def normalise_names(found: DataFrame, dictionary: DataFrame, key: str, least: in
     words = rest.select(key, "entity", F.explode(F.split(F.regexp_replace("_upper", r"[\[\](),-]", " "), r"\s+")).alias("name"))
     by_word = words.where("name <> ''").join(names, "name").select(key, "entity", "name").distinct().withColumn("how", F.lit("word"))
     rest = rest.join(by_word.select(key, "entity"), [key, "entity"], "left_anti").distinct()
-    share = (least - 0.5) / 100
-    size = F.length("_upper")
-    long = F.sequence(F.ceil(size * (share / (2 - share)) - 1e-6).cast("int"), F.floor(size * ((2 - share) / share) + 1e-6).cast("int"))
-    near = rest.select("_upper").distinct().withColumn("long", F.explode(long)).join(names.withColumn("long", F.length("name")), "long")
-    near = near.withColumn("ratio", indel_ratio("_upper", "name", F.lit(least))).where(F.col("ratio") >= least)
+    near = like_pairs(rest.select(F.col("_upper").alias("name")), names, least).select(F.col("a").alias("_upper"), F.col("b").alias("name"), "ratio")
     near = near.groupBy("_upper").agg(F.max_by("name", F.struct("ratio", "name")).alias("name"))
     near = rest.join(near, "_upper").select(key, "entity", "name", F.lit("near").alias("how"))
     return exact.unionByName(by_word).unionByName(near)

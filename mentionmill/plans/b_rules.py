@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from mentionmill import fixed_values as V
 from mentionmill.functions import text as T
+from mentionmill.operators import language as L
 from mentionmill.operators import rules as R
 from mentionmill.plans.registry import query
-from mentionmill.plans.views import ARTICLE, MENTION, article, mention, table, with_
+from mentionmill.plans.views import ARTICLE, MENTION, WHOLE_ARTICLE, article, mention, table, with_
 
 
 def sql(s: str) -> str:
@@ -57,31 +58,48 @@ def b05(spark, d):
     return article(spark, d).select("paper_id", F.when(F.size(words) == 0, F.lit("EMPTY/NA")).when(share > 0.15, F.lit("en")).otherwise(F.lit("other")).alias("said"))
 
 
-STOPS = {
-    "en": ["the", "of", "and", "is", "that", "are", "with", "for"], "fr": ["le", "la", "les", "de", "des", "que", "est", "un"],
-    "de": ["der", "die", "und", "das", "ist", "den", "mit", "von"], "es": ["el", "los", "del", "por", "con", "una", "para", "las"],
-}
+FIT = 5  # documents whose id is not divisible by it are what the profiles are fitted on
+TRIGRAMS = "unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram"
 
 
-@query(
-    "B06_language",
-    with_("words AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z]+') AS w FROM documents)", "score AS (SELECT doc_id, len(w) AS n, " + ", ".join(f"len(list_filter(w, lambda x: list_contains({s}, x))) AS {k}" for k, s in STOPS.items()) + " FROM words)")
-    + "SELECT doc_id, CASE WHEN greatest(en, fr, de, es) = 0 THEN 'unknown' WHEN en >= fr AND en >= de AND en >= es THEN 'en' WHEN fr >= de AND fr >= es THEN 'fr' WHEN de >= es THEN 'de' ELSE 'es' END AS said FROM score",
-)
+def letters_sql(column: str) -> str:
+    return rf"string_split(' ' || trim(regexp_replace(lower({column}), '[^\p{{L}}]+', ' ', 'g')) || ' ', '')"
+
+
+def said_sql(column: str) -> str:
+    """The likeliest language of a column of ``article``."""
+    return f"""{column}_c AS (SELECT paper_id, {letters_sql(column)} AS c FROM article WHERE length(trim({column})) > 10),
+    {column}_g AS (SELECT paper_id, gram, count(*) AS k FROM (SELECT paper_id, {TRIGRAMS} FROM {column}_c) GROUP BY ALL),
+    {column}_s AS (SELECT paper_id, lang, sum(k * score) AS s FROM {column}_g JOIN profile USING (gram) GROUP BY ALL),
+    {column}_l AS (SELECT paper_id, lang AS said FROM {column}_s QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY s DESC, lang) = 1)"""
+
+
+PROFILES = f"""chars AS (SELECT doc_id, lang, {letters_sql("text")} AS c FROM documents WHERE text IS NOT NULL),
+    counts AS (SELECT lang, gram, count(*) AS c FROM (SELECT doc_id, lang, {TRIGRAMS} FROM chars) WHERE doc_id % {FIT} <> 0 AND lang IS NOT NULL GROUP BY ALL),
+    vocabulary AS (SELECT DISTINCT gram FROM (SELECT gram, row_number() OVER (PARTITION BY lang ORDER BY c DESC, gram) AS n FROM counts) WHERE n <= 5000),
+    total AS (SELECT lang, sum(c) AS total FROM counts GROUP BY lang),
+    profile AS MATERIALIZED (SELECT v.gram, t.lang, round(1000 * ln((coalesce(c.c, 0) + 1) / (total + (SELECT count(*) FROM vocabulary))))::BIGINT AS score FROM vocabulary v CROSS JOIN total t LEFT JOIN counts c ON c.gram = v.gram AND c.lang = t.lang)"""
+SAID = with_(PROFILES, WHOLE_ARTICLE, said_sql("title"), said_sql("abstract"))
+SAID += ", said AS (SELECT a.paper_id, language, coalesce(t.said, 'unknown') AS said_title, coalesce(b.said, 'unknown') AS said_abstract FROM article a LEFT JOIN title_l t USING (paper_id) LEFT JOIN abstract_l b USING (paper_id)) "
+
+
+def profiles(spark, d):
+    """Fitted on four fifths of the documents."""
+    return L.fit_profiles(table(spark, d, "documents").where(F.pmod("doc_id", F.lit(FIT)) != 0))
+
+
+@query("B06_language", SAID + "SELECT * FROM said")
 def b06(spark, d):
-    """Language by counts of stop words: the detector that the plug-in interface takes by default."""
-    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("([a-z]+)"), F.lit(1))
-    rows = table(spark, d, "documents").select("doc_id", words.alias("w"))
-
-    def count(stops: list[str]):
-        return F.size(F.filter("w", lambda x: x.isin(stops)))
-
-    rows = rows.select("doc_id", *[count(s).alias(k) for k, s in STOPS.items()])
-    best = F.greatest(*STOPS)
-    said = F.when(best == 0, F.lit("unknown"))
-    for k in STOPS:
-        said = said.when(F.col(k) == best, F.lit(k))
-    return rows.select("doc_id", said.alias("said"))
+    """Language of title and of abstract, apart, with letters as they are."""
+    rows = article(spark, d, plain=False)
+    said = L.detect(rows, profiles(spark, d), "paper_id", "title", "abstract")
+    return rows.select("paper_id", "language").join(said.select("paper_id", F.col("title").alias("said_title"), F.col("abstract").alias("said_abstract")), "paper_id")
+
+
+@query("B06_rejected_rows", SAID + "SELECT paper_id, said_title, said_abstract FROM said WHERE said_title <> 'en' AND said_abstract <> 'en'")
+def b06_rejected(spark, d):
+    """The side output: articles of which neither title nor abstract is English."""
+    return L.split_by_language(article(spark, d, plain=False), profiles(spark, d))[1].select("paper_id", "said_title", "said_abstract")
 
 
 def removed(name: str, text: str, rule) -> None:

@@ -17,10 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def article(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``paper_id, title, abstract, authors, language, pub_date (text), ingest_ord``."""
+def article(spark: SparkSession, sf_dir: str, plain: bool = True) -> DataFrame:
+    """``paper_id, title, abstract, authors, language, pub_date (text), ingest_ord``; ``plain`` texts are ASCII only."""
     heads = F.array(*[F.lit(h) for h in HEADS])
-    text = ascii_only(F.coalesce("text", F.lit("")))
+    text = F.coalesce("text", F.lit(""))
+    text = ascii_only(text) if plain else text
     k = F.col("doc_id")
     date = F.date_format(F.date_add(F.lit("2014-01-01").cast("date"), F.pmod(k * 37, F.lit(4000)).cast("int")), "yyyy-MM-dd")
     return table(spark, sf_dir, "documents").select(
@@ -39,6 +40,10 @@ ARTICLE = rf"""article AS (
 )"""
 
 
+#: The same with letters as they are.
+WHOLE_ARTICLE = ARTICLE.replace(r"regexp_replace(coalesce(text, ''), '[^\x00-\x7F]+', '', 'g')", "coalesce(text, '')")
+
+
 def mention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``paper_id, category, entity``: one row for each pair; orders stand for papers."""
     line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
