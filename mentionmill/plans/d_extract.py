@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mentionmill.operators import automaton as T
 from mentionmill.operators import dictionary as D
+from mentionmill.operators import embedding as E
 from mentionmill.operators import extract as X
+from mentionmill.operators import neighbours as N
 from mentionmill.plans.registry import query
 from mentionmill.plans.views import ARTICLE, MENTION, article, mention, table, with_
 
@@ -32,6 +35,19 @@ def d02(spark, d):
     return D.match_terms(texts(spark, d), terms(spark), "paper_id", ignore_case=True).select("paper_id", F.upper("term").alias("term")).distinct()
 
 
+@query("D01_table_function", with_(ARTICLE, TEXT, TERM) + r"SELECT paper_id, term FROM txt, term WHERE regexp_matches(text, '\b' || term || '\b')")
+def d01_table(spark, d):
+    """The matcher as a table function of SQL."""
+    spark.udtf.register("terms_in", T.table_function(T.listed(terms(spark), False, True)))
+    texts(spark, d).createOrReplaceTempView("d01_texts")
+    return spark.sql("SELECT paper_id, term FROM d01_texts, LATERAL terms_in(text)")
+
+
+@query("D04_table_function", with_(ARTICLE, TEXT, TERM) + "SELECT paper_id, term FROM txt, term WHERE contains(text, term)")
+def d04_table(spark, d):
+    return T.find_terms(texts(spark, d), terms(spark), "paper_id", whole_words=False)
+
+
 ALIASES = [("lung carcinomas", "lung cancer"), ("breast cancer", "breast cancer"), ("her2", "ERBB2"), ("p53 mutation", "TP53"), ("met amplification", "MET"), ("met", "MET")]
 ALIAS = "alias AS (SELECT unnest([" + ", ".join(f"{{'alias': '{a}', 'canonical': '{c}'}}" for a, c in ALIASES) + "], recursive := true))"
 
@@ -182,3 +198,18 @@ def d19(spark, d):
 def d20(spark, d):
     vectors = table(spark, d, "embeddings")
     return X.nearest(vectors.where("vec_id % 50 = 0"), vectors, 5).drop("cosine")
+
+
+@query("D20_text_vectors")
+def d20_text(spark, d):
+    """An embedding of every document."""
+    return E.text_vectors(table(spark, d, "documents"), "doc_id")
+
+
+@query(
+    "D20_neighbour_graph",
+    "SELECT vec_id, neighbour, rank::INT AS rank, round(c, 6) AS cosine FROM (SELECT q.vec_id, v.vec_id AS neighbour, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS c, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(c, 12) DESC, v.vec_id) AS rank FROM embeddings q, embeddings v WHERE v.vec_id <> q.vec_id) WHERE rank <= 15",
+)
+def d20_graph(spark, d):
+    """The 15 nearest of every vector: exact, as its SQL is, while all vectors fit one cell; above that its recall is measured."""
+    return N.neighbour_graph(table(spark, d, "embeddings")).withColumn("cosine", F.round("cosine", 6))
