@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from mentionmill.operators.pairs import spread_pairs
+
 
 def with_weight(studies: DataFrame, weights: dict[str, float], default: float = 0.0) -> DataFrame:
     """``weight`` by study design; a design without one gets the default."""
@@ -15,12 +17,12 @@ def cooccurrence(mentions: DataFrame, studies: DataFrame, left: str, right: str)
     """``a, b, papers, raw, pct``: papers that name both, the sum of squared weights, and it as a share of a's weight.
 
     Papers whose design weighs nothing add nothing to ``raw``. One join on the
-    paper, then sums by pair with map-side combine.
+    paper (papers of many names spread over tasks), then sums by pair with map-side combine.
     """
     weighed = mentions.join(studies.where("weight > 0").select("paper_id", "weight"), "paper_id")
     a = weighed.where(F.col("category") == left).select("paper_id", F.col("entity").alias("a"), "weight")
     b = mentions.where(F.col("category") == right).select("paper_id", F.col("entity").alias("b"))
-    raw = a.join(b, "paper_id").groupBy("a", "b").agg(F.count("*").alias("papers"), F.sum(F.col("weight") * F.col("weight")).alias("raw"))
+    raw = spread_pairs(a, b, "paper_id", "a", "b").groupBy("a", "b").agg(F.count("*").alias("papers"), F.sum(F.col("weight") * F.col("weight")).alias("raw"))
     base = a.groupBy("a").agg(F.sum("weight").alias("base"))
     return raw.join(base, "a").select("a", "b", "papers", "raw", (100 * F.try_divide("raw", "base")).alias("pct"))
 

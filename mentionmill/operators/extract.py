@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from mentionmill import fixed_values as V
 from mentionmill.operators.near_names import like_pairs
+from mentionmill.operators.pairs import spread_pairs
 
 def windows(tokens: Column, size: int = 512, stride: int = 256, drop_tail: bool = False) -> Column:
     """Overlapping windows of a token array. All tokens are covered; ``drop_tail`` stops at the first short window."""
@@ -108,9 +109,9 @@ def normalise_names(found: DataFrame, dictionary: DataFrame, key: str, least: in
 
 
 def candidate_pairs(mentions: DataFrame, left: str = "Variant", right: str = "Treatment") -> DataFrame:
-    """All pairs of a paper's entities of two categories."""
+    """All pairs of a paper's entities of two categories; a heavy paper's are made by many tasks."""
     a = mentions.where(F.col("category") == left).select("paper_id", F.col("entity").alias("a"))
-    return a.join(mentions.where(F.col("category") == right).select("paper_id", F.col("entity").alias("b")), "paper_id")
+    return spread_pairs(a, mentions.where(F.col("category") == right).select("paper_id", F.col("entity").alias("b")), "paper_id", "a", "b")
 
 
 def entity_lists(mentions: DataFrame) -> DataFrame:

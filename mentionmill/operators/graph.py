@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mentionmill import fixed_values as V
+from mentionmill.operators.pairs import unordered_pairs
 from mentionmill.runtime import cut
 
 PRIORITY = {"Variant": 1, "Cancer": 2, "Treatment": 3, "Gene": 4}
@@ -18,8 +19,8 @@ def vertices(mentions: DataFrame) -> DataFrame:
 
 def edges(mentions: DataFrame, studies: DataFrame, ordered: bool = False) -> DataFrame:
     """``src, dst, papers, weight`` with ``src < dst``: all pairs of names of a paper; ``ordered`` counts both orders."""
-    m = mentions.select("paper_id", "entity").distinct()
-    pairs = m.join(studies.select("paper_id", "weight"), "paper_id").withColumnRenamed("entity", "src").join(m.withColumnRenamed("entity", "dst"), "paper_id").where("src < dst")
+    m = mentions.select("paper_id", "entity").distinct().join(studies.select("paper_id", "weight"), "paper_id")
+    pairs = unordered_pairs(m, "paper_id", "entity", "weight")
     times = 2 if ordered else 1
     return pairs.groupBy("src", "dst").agg((times * F.count("*")).alias("papers"), (times * F.sum("weight")).alias("weight"))
 

@@ -6,9 +6,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
+from mentionmill.operators.ranges import running_min, running_sum
+from mentionmill.runtime import cut
+
 
 def _log_choose(n: int, k: int) -> float:
     return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
@@ -43,22 +46,22 @@ def fisher_reference(cells: DataFrame, by: str = "raw") -> DataFrame:
 
 
 def fisher_margins(cells: DataFrame, n_a: DataFrame, n_b: DataFrame, papers: int) -> DataFrame:
-    """``p`` of the table of papers with both, one and neither; ``n_a(a, n_a)`` and ``n_b(b, n_b)`` count papers."""
+    """``p`` of the table of papers with both, one and neither, once for each distinct table; ``n_a(a, n_a)`` and ``n_b(b, n_b)`` count papers."""
     out = cells.join(n_a, "a").join(n_b, "b")
-    both = F.col("papers")
+    key, both = ["papers", "n_a", "n_b"], F.col("papers")
     rest = F.lit(papers) - F.col("n_a") - F.col("n_b") + both
-    return out.withColumn("p", fisher(both, F.col("n_a") - both, F.col("n_b") - both, rest))
+    told = out.select(*key).distinct().withColumn("p", fisher(both, F.col("n_a") - both, F.col("n_b") - both, rest))
+    return out.join(told, key)
 
 
 def benjamini_hochberg(cells: DataFrame, tests: int, p: str = "p") -> DataFrame:
     """``p_adj`` among ``tests`` tests, of which those not listed have ``p`` 1.
 
     Works on the histogram of ``p``: rows of one value share their largest rank.
-    The windows run over distinct values.
+    Ranks and running minima are taken over ranges of ``p``, so that no task has
+    all its values, as many as they are.
     """
-    bins = cells.groupBy(p).agg(F.count("*").alias("_n"))
-    upto = Window.orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
-    bins = bins.withColumn("_q", F.col(p) * tests / F.sum("_n").over(upto))
-    from_here = Window.orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
-    bins = bins.select(p, F.least(F.lit(1.0), F.min("_q").over(from_here)).alias("p_adj"))
-    return cells.join(bins, p)
+    cells = cut(cells)  # for the histogram and for the answer
+    bins = running_sum(cells.where(F.col(p).isNotNull()).groupBy(p).agg(F.count("*").alias("_n")), "_n", p, name="_rank")
+    bins = running_min(bins.withColumn("_q", F.col(p) * tests / F.col("_rank")), "_q", F.desc(p), name="_least")
+    return cells.join(bins.select(p, F.least(F.lit(1.0), "_least").alias("p_adj")), p)

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Window, functions as F
 
+from mentionmill.operators.pairs import unordered_pairs
+from mentionmill.operators.ranges import as_of, in_intervals
 from mentionmill.plans.registry import query
 from mentionmill.plans.views import MENTION, mention, table, with_
 
@@ -100,8 +102,7 @@ def f12(spark, d):
 @query("F13_self_join", with_(MENTION) + "SELECT a.entity AS a, b.entity AS b, count(*) AS n FROM mention a JOIN mention b ON a.paper_id = b.paper_id AND a.entity < b.entity WHERE a.category = 'Cancer' AND b.category = 'Cancer' GROUP BY 1, 2")
 def f13(spark, d):
     m = mention(spark, d).where("category = 'Cancer'")
-    a, b = m.select("paper_id", C("entity").alias("a")), m.select("paper_id", C("entity").alias("b"))
-    return a.join(b, "paper_id").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    return unordered_pairs(m, "paper_id", "entity").groupBy(C("src").alias("a"), C("dst").alias("b")).agg(F.count("*").alias("n"))
 
 
 @query("F14_positional", "SELECT a.conv_id, a.turn, a.role AS role_a, b.role AS role_b FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn")
@@ -125,3 +126,35 @@ def f16(spark, d):
 def f19(spark, d):
     matched = F.array_sort(F.array_intersect(F.split("p_name", " "), F.array(F.lit("red"), F.lit("ring"), F.lit("hot"))))
     return table(spark, d, "part").select("p_partkey", matched.alias("matched")).where(F.size("matched") > 0)
+
+
+#: Orders in the weeks of the events: what customers did by the second.
+MOVED = "orders_at AS (SELECT o_custkey, o_orderkey, o_totalprice, TIMESTAMP '2024-01-01' + to_seconds(CAST(o_orderkey * 7919 % 2592000 AS BIGINT)) AS moment FROM orders)"
+
+
+def orders_at(spark, d):
+    seconds = F.pmod(C("o_orderkey") * 7919, F.lit(30 * 86400))
+    return table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice", F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp")) + seconds).alias("moment"))
+
+
+@query("F17_as_of", with_(MOVED) + ", o AS (SELECT moment, max({'o_orderkey': o_orderkey, 'o_totalprice': o_totalprice}) AS h FROM orders_at GROUP BY moment) SELECT event_id, h.o_orderkey AS o_orderkey_as_of, h.o_totalprice AS o_totalprice_as_of FROM events e ASOF LEFT JOIN o ON e.ts >= o.moment")
+def f17(spark, d):
+    """The latest order, of anyone, at the time of each event."""
+    e = table(spark, d, "events").select("event_id", C("ts").cast("timestamp").alias("ts"))
+    return as_of(e, orders_at(spark, d), "ts", ["o_orderkey", "o_totalprice"], right_time="moment").drop("ts")
+
+
+@query("F17_as_of_by_customer", with_(MOVED) + ", o AS (SELECT o_custkey, moment, max({'o_orderkey': o_orderkey}) AS h FROM orders_at GROUP BY ALL) SELECT event_id, user_id, h.o_orderkey AS o_orderkey_as_of FROM events e ASOF LEFT JOIN o ON e.user_id = o.o_custkey AND e.ts >= o.moment")
+def f17_by(spark, d):
+    """A user's own latest order at the time of each event."""
+    e = table(spark, d, "events").select("event_id", "user_id", C("ts").cast("timestamp").alias("ts"))
+    return as_of(e, orders_at(spark, d).withColumn("user_id", C("o_custkey")), "ts", ["o_orderkey"], right_time="moment", by="user_id").drop("ts")
+
+
+@query("F17_intervals", with_(MOVED) + "SELECT o_orderkey, count(*) AS n, count(DISTINCT user_id) AS users FROM orders_at JOIN events ON floor(epoch(ts))::BIGINT >= floor(epoch(moment))::BIGINT AND floor(epoch(ts))::BIGINT < floor(epoch(moment))::BIGINT + 600 + o_orderkey % 3000 GROUP BY o_orderkey")
+def f17_intervals(spark, d):
+    """Events within some minutes after each order."""
+    start = F.unix_timestamp("moment")
+    spans = orders_at(spark, d).select("o_orderkey", start.alias("start"), (start + 600 + C("o_orderkey") % 3000).alias("end"))
+    points = table(spark, d, "events").select("user_id", F.unix_timestamp(C("ts").cast("timestamp")).alias("second"))
+    return in_intervals(points, spans, "second", "start", "end", 3600).groupBy("o_orderkey").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))

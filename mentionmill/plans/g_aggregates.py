@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from mentionmill.operators.consensus import summary
+from mentionmill.operators.ranges import exact_percentile, numbered, running_sum, shifted, tiles
 from mentionmill.plans.registry import query
 from mentionmill.plans.views import LABEL, MENTION, label, mention, table, with_
 
@@ -88,7 +89,9 @@ def g13(spark, d):
 
 @query("G14_percentile", "SELECT event_type, round(coalesce(quantile_cont(value, 0.8), 0), 6) AS p80 FROM events GROUP BY event_type")
 def g14(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.round(F.coalesce(F.percentile("value", F.lit(0.8)), F.lit(0.0)), 6).alias("p80"))
+    e = table(spark, d, "events")
+    told = exact_percentile(e, ["event_type"], "value", 0.8, name="p80")
+    return e.select("event_type").distinct().join(told, "event_type", "left").select("event_type", F.round(F.coalesce("p80", F.lit(0.0)), 6).alias("p80"))
 
 
 @query("G15_likeliest_label", with_(LABEL) + "SELECT pair, label FROM (SELECT pair, label, row_number() OVER (PARTITION BY pair ORDER BY count(*) DESC, label) AS rn FROM label GROUP BY pair, label) WHERE rn = 1")
@@ -183,3 +186,13 @@ def h07(spark, d):
 def h08(spark, d):
     n = table(spark, d, "part").groupBy("p_type").agg(F.count("*").alias("n"))
     return n.crossJoin(F.broadcast(n.agg(F.sum("n").alias("t")))).select("p_type", F.round(C("n") / C("t"), 6).alias("share"))
+
+
+@query("H09_order_of_all", "SELECT event_id, row_number() OVER w AS n, lag(value) OVER w AS one_before, lead(value, 3) OVER w AS three_after, ntile(7) OVER w AS tile, round(sum(value) OVER w, 4) AS running FROM events WINDOW w AS (ORDER BY ts, event_id)")
+def h09(spark, d):
+    """Numbers, neighbours, tiles and running sums over the whole table, by ranges of its order."""
+    e, order = table(spark, d, "events").select("event_id", "ts", "value"), ("ts", "event_id")
+    e = numbered(e, *order)
+    e = shifted(shifted(e, "value", 1, *order, name="one_before"), "value", -3, *order, name="three_after")
+    e = running_sum(tiles(e, 7, *order), "value", *order)
+    return e.select("event_id", "n", "one_before", "three_after", "tile", F.round("running", 4).alias("running"))

@@ -10,6 +10,7 @@ from mentionmill.operators import cooc as O
 from mentionmill.operators import stats as S
 from mentionmill.plans.registry import query
 from mentionmill.plans.views import LABEL, MENTION, STUDY, label, mention, study, weights_sql, with_
+from mentionmill.runtime import cut
 
 C = F.col
 WEIGHTED = f"weighted AS (SELECT *, {weights_sql(V.MATRIX_WEIGHTS, 0.0)} AS weight FROM study)"
@@ -26,7 +27,7 @@ def studies(spark, d):
 
 
 def cells(spark, d):
-    return O.cooccurrence(mention(spark, d), studies(spark, d), "Treatment", "Cancer")
+    return O.cooccurrence(cut(mention(spark, d)), studies(spark, d), "Treatment", "Cancer")
 
 
 def rounded(df, *names):

@@ -9,6 +9,7 @@ from mentionmill.operators import trends as R
 from mentionmill.plans.g_aggregates import WEEK, weeks
 from mentionmill.plans.registry import query
 from mentionmill.plans.views import MENTION, STUDY, mention, study, table, with_
+from mentionmill.runtime import cut
 
 C = F.col
 
@@ -69,7 +70,7 @@ def k07(spark, d):
 
 @query("K08_dataset_funnel", with_(MENTION) + "SELECT category, count(DISTINCT paper_id) AS papers FROM mention GROUP BY category UNION ALL SELECT 'all four', count(*) FROM (SELECT paper_id FROM mention GROUP BY paper_id HAVING count(DISTINCT category) = 4)")
 def k08(spark, d):
-    m = mention(spark, d)
+    m = cut(mention(spark, d))
     each = m.groupBy("category").agg(F.count_distinct("paper_id").alias("papers"))
     every = m.groupBy("paper_id").agg(F.count_distinct("category").alias("k")).where("k = 4").agg(F.count("*").alias("papers"))
     return each.unionByName(every.select(F.lit("all four").alias("category"), "papers"))
