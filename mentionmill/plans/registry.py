@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-FAMILIES = ("a_sources", "b_rules", "c_text", "d_extract", "e_matrix", "f_joins", "g_aggregates", "i_sets", "j_statistics", "k_trends", "l_graph", "m_evaluation")
+FAMILIES = ("a_sources", "b_rules", "c_text", "d_extract", "e_matrix", "f_joins", "g_aggregates", "i_sets", "j_statistics", "k_trends", "l_graph", "m_evaluation", "s_streams")
 
 
 def counted(sql: str) -> str:
