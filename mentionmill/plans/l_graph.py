@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mentionmill import fixed_values as V
+from mentionmill.operators import clusters as K
 from mentionmill.operators import consensus as N
 from mentionmill.operators import cooc as O
 from mentionmill.operators import graph as G
@@ -148,3 +149,39 @@ def n01(spark, d):
     r = table(spark, d, "region").select(C("r_name").alias("child"), F.lit("world").alias("parent"))
     root = spark.createDataFrame([("world", "AFRICA")], "child string, parent string")
     return G.parents_of(spark, n.unionByName(r).unionByName(root).withColumn("ord", F.lit(1)))
+
+
+def turns_sql(rounds: int) -> str:
+    """Label propagation, a common table a turn."""
+    ctes = ["t0 AS MATERIALIZED (SELECT DISTINCT src AS id, src AS community FROM near)"]
+    for k in range(1, rounds + 1):
+        half = f"CASE WHEN md5(id)[1] < '8' THEN 1 ELSE 0 END = {k % 2}"
+        ctes.append(f"t{k} AS MATERIALIZED (SELECT id, CASE WHEN {half} THEN best ELSE community END AS community FROM t{k - 1} JOIN (SELECT src AS id, arg_min(community, (-w, community)) AS best FROM (SELECT src, community, round(sum(weight), 6) AS w FROM near JOIN t{k - 1} ON dst = id GROUP BY ALL) GROUP BY src) USING (id))")
+    return ", ".join(ctes)
+
+
+STRONG = ", strong AS (SELECT src, dst, weight FROM edge WHERE weight > (SELECT avg(weight) FROM edge) AND src NOT LIKE 'Brand%' AND dst NOT LIKE 'Brand%'), near AS MATERIALIZED (SELECT src, dst, weight FROM strong UNION ALL SELECT dst, src, weight FROM strong), " + turns_sql(6)
+
+
+def strong(spark, d):
+    """Edges heavier than the mean, brands left aside."""
+    e = cut(edges(spark, d).select("src", "dst", "weight"))
+    mean = e.agg(F.avg("weight").alias("mean"))
+    return e.crossJoin(F.broadcast(mean)).where((C("weight") > C("mean")) & ~C("src").startswith("Brand") & ~C("dst").startswith("Brand")).drop("mean")
+
+
+@query("J15_communities", ALL + STRONG + " SELECT id, community FROM t6")
+def j15(spark, d):
+    return K.communities(strong(spark, d), rounds=6)
+
+
+@query("J15_modularity", ALL + STRONG + ", c AS (SELECT c, sum(weight) AS degree, sum(inside) AS inside FROM (SELECT unnest([x.community, y.community]) AS c, weight, CASE WHEN x.community = y.community THEN weight ELSE 0 END AS inside FROM strong JOIN t6 x ON x.id = src JOIN t6 y ON y.id = dst) GROUP BY c) SELECT count(*) AS communities, round(sum(inside / (SELECT sum(degree) FROM c) - pow(degree / (SELECT sum(degree) FROM c), 2)), 6) AS modularity FROM c")
+def j15_modularity(spark, d):
+    e = cut(strong(spark, d))
+    return K.modularity(e, K.communities(e, rounds=6)).withColumn("modularity", F.round("modularity", 6))
+
+
+@query("J15_kmeans")
+def j15_kmeans(spark, d):
+    """Clusters of all vectors; its start is drawn by hashes that SQL has not, so tests hold it against a plain run."""
+    return K.kmeans(table(spark, d, "embeddings"), 10)[0].select("vec_id", "cluster")
