@@ -40,6 +40,36 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x) if isinstance(x, str) else x)
 
 
+#: Letters that do not fall apart into a letter of ASCII and a mark.
+LETTERS = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ð": "d", "þ": "th", "–": "-", "—": "-", "‘": "'", "’": "'", "“": '"', "”": '"', "…": "..."}
+
+
+@F.pandas_udf(StringType())
+def transliterate(s: pd.Series) -> pd.Series:
+    """The closest ASCII letters; what has none is left out."""
+    table = str.maketrans(LETTERS)
+    return s.map(lambda x: unicodedata.normalize("NFKD", x.translate(table)).encode("ascii", "ignore").decode() if isinstance(x, str) else x)
+
+
+def _repaired(text: str) -> str:
+    for page in ("cp1252", "latin-1"):
+        try:
+            return text.encode(page).decode("utf-8")
+        except UnicodeError:  # a character that the page has not, or bytes that are no UTF-8
+            continue
+    return text
+
+
+@F.pandas_udf(StringType())
+def repair(s: pd.Series) -> pd.Series:
+    """Text whose UTF-8 was read as Windows-1252 or Latin-1, read right: all its characters are of that page and their bytes are UTF-8. Other text stays as it is."""
+    return s.map(lambda x: x if not isinstance(x, str) or x.isascii() else _repaired(x))
+
+
+def one_line(c: Column) -> Column:
+    return F.trim(F.regexp_replace(c, r"[\r\n]+", " "))
+
+
 def clean_text(c: Column) -> Column:
     """Strip tags, mend wrongly decoded characters, squeeze white space, drop non-ASCII; references other than the five of XML need :func:`unescape` before."""
     c = F.regexp_replace(c, r"<[^>]+>", "")

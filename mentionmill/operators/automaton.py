@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mentionmill.operators import dictionary
 from mentionmill.runtime import ship
@@ -63,6 +63,9 @@ def table_function(forms: dict[str, list[str]], whole_words: bool = True, ignore
     its first text comes.
     """
 
+    if SparkSession.getActiveSession() is not None:
+        ship(SparkSession.getActiveSession())
+
     class Terms:
         def __init__(self) -> None:
             self.find = built(forms, whole_words)
@@ -94,7 +97,6 @@ def find_terms(texts: DataFrame, terms: DataFrame, key: str, ignore_case: bool =
         return dictionary.match_terms(texts, terms, key, ignore_case) if whole_words else dictionary.match_substrings(texts, terms, key)
     if not forms:
         return texts.select(key, F.lit("").alias("term")).limit(0)
-    ship(texts.sparkSession)
     find = table_function(forms, whole_words)
     low = F.lower("text") if ignore_case else F.col("text")
     rows = texts.select(key, low.alias("text"))

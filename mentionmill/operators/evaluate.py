@@ -34,6 +34,18 @@ def set_confusion(df: DataFrame, truth: str, said: str, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.sum(both).alias("tp"), F.sum(extra).alias("fp"), F.sum(missed).alias("fn"), F.count_if((F.size(truth) == 0) & (F.size(said) == 0)).alias("tn"))
 
 
+def first_errors(df: DataFrame, key: str, truth: str, said: str, k: int = 5) -> DataFrame:
+    """``kind, key, names``: the first ``k`` rows by key with names too many (``fp``) and with names missed (``fn``)."""
+    wrong = [(n, F.array_sort(F.array_except(a, b))) for n, a, b in (("fp", said, truth), ("fn", truth, said))]
+    parts = [df.select(F.lit(n).alias("kind"), F.col(key).alias("key"), c.alias("names")).where(F.size("names") > 0).orderBy("key").limit(k) for n, c in wrong]
+    return parts[0].unionByName(parts[1])
+
+
+def disagreeing(df: DataFrame, key: str, *said: str) -> DataFrame:
+    """The rows on which not all of ``said`` are alike; a missing answer is an answer."""
+    return df.where(~F.forall(F.array(*said), lambda x: x.eqNullSafe(F.col(said[0])))).select(key, *said)
+
+
 def class_confusion(df: DataFrame, truth: str, said: str, labels: list[str]) -> DataFrame:
     """``truth, said, n`` for all pairs of labels."""
     values = F.array(*[F.lit(x) for x in labels])

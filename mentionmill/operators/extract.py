@@ -33,6 +33,14 @@ def keep_labels(entities: DataFrame, labels: list[str], stop: list[str]) -> Data
     return entities.where(F.col("label").isin(labels) & ~F.lower("entity").isin([s.lower() for s in stop]))
 
 
+def union_labels(key: str, *tagged: DataFrame) -> DataFrame:
+    """``key, entity``: what any of several taggers has found, each name of a text once."""
+    out = tagged[0].select(key, "entity")
+    for t in tagged[1:]:
+        out = out.unionByName(t.select(key, "entity"))
+    return out.distinct()
+
+
 def response_pairs(text: Column, hgvs: bool = False) -> Column:
     """``(variant, gene)`` structs of a response. The plain pattern loses changes such as ``c.1A>G``; ``hgvs`` finds them."""
     text, pattern = F.replace(text, F.lit("\n"), F.lit(" ")), F.lit(V.RESPONSE_PAIR_HGVS if hgvs else V.RESPONSE_PAIR)

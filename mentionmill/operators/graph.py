@@ -68,6 +68,21 @@ def components(edge: DataFrame) -> DataFrame:
             return label
 
 
+def large_components(edge: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The edges between vertices of components of ``least`` vertices or more, and ``kept, dropped``: how many vertices stay and go."""
+    c = cut(components(edge))
+    sizes = c.groupBy("component").agg(F.count("*").alias("_n"))
+    large = c.join(sizes.where(F.col("_n") >= least), "component").select("id")
+    kept = F.coalesce(F.sum(F.when(F.col("_n") >= least, F.col("_n"))), F.lit(0))
+    counts = sizes.agg(kept.alias("kept"), (F.coalesce(F.sum("_n"), F.lit(0)) - kept).alias("dropped"))
+    return edge.join(large, edge["src"] == large["id"], "left_semi"), counts  # both ends of an edge are of one component
+
+
+def unmatched(names: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Names (``name``) that no alias stands for, each once."""
+    return names.select("name").distinct().join(aliases.select(F.col("alias").alias("name")), "name", "left_anti")
+
+
 def last_alias(aliases: DataFrame) -> DataFrame:
     """The canonical name of each alias, the last by ``ord``."""
     return aliases.groupBy("alias").agg(F.max_by("canonical", "ord").alias("canonical"))

@@ -32,6 +32,14 @@ def withdrawn(c: Column) -> Column:
     return c.rlike(rf"(?i)^\[?(?:{quoted(V.WITHDRAWN_HEADS)})\b")
 
 
+def blocked_abstract(c: Column) -> Column:
+    """Whether an abstract begins with a notice that stands for one."""
+    out = F.lit(False)
+    for head in V.BLOCKED_ABSTRACTS:
+        out = out | c.startswith(head)
+    return out
+
+
 def not_research(c: Column) -> Column:
     return c.rlike(f"(?i)(?:{quoted(V.NON_RESEARCH)})")
 

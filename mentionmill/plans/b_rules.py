@@ -119,12 +119,12 @@ removed("B14_withdrawn", f"regexp_matches(title, '{GONE}')", lambda: R.withdrawn
 removed("B15_not_research", f"regexp_matches(title, '{OPINION}')", lambda: R.not_research(F.col("title")))
 
 
-@query("B16_blocked_abstract", A + "SELECT paper_id FROM article WHERE NOT starts_with(abstract, 'The') AND NOT starts_with(abstract, '(Cell Reports')")
+@query("B16_blocked_abstract", A + "SELECT paper_id FROM article WHERE paper_id % 5 > 1")
 def b16(spark, d):
-    blocked = F.lit(False)
-    for head in ["The", V.BLOCKED_ABSTRACTS[1]]:
-        blocked = blocked | F.col("abstract").startswith(head)
-    return article(spark, d).withColumn("abstract", F.when(~blocked, F.col("abstract"))).where("abstract IS NOT NULL").select("paper_id")
+    """Abstracts of two papers in five begin with one of the notices."""
+    k = F.pmod("paper_id", F.lit(5))
+    abstract = F.when(k == 0, F.concat(F.lit("Our website uses cookies to enhance your experience. "), "abstract")).when(k == 1, F.concat(F.lit("(Cell Reports 12, 3) "), "abstract")).otherwise(F.col("abstract"))
+    return article(spark, d).where(~R.blocked_abstract(abstract)).select("paper_id")
 
 
 @query("B17_title_tokens", A + r"SELECT paper_id FROM article WHERE len(regexp_split_to_array(trim(title), '\s+')) >= 3")

@@ -9,6 +9,7 @@ from mentionmill.functions import text as T
 from mentionmill.operators import variants as X
 from mentionmill.plans.registry import query
 from mentionmill.plans.views import ARTICLE, article, table, with_
+from mentionmill.runtime import ship
 
 A = with_(ARTICLE)
 
@@ -44,7 +45,7 @@ C = F.col
 mojibake = r"regexp_replace('‚Äì' || abstract || '√© <b>x</b>', '<[^>]+>', '', 'g')"
 for bad, good in V.MOJIBAKE:
     mojibake = f"replace({mojibake}, {q(bad)}, {q(good)})"
-over_titles("C01_clean_text", rf"regexp_replace({squeeze_sql(mojibake)}, '[^\x00-\x7F]+', '', 'g')", lambda: T.clean_text(F.concat(F.lit("‚Äì"), C("abstract"), F.lit("√© <b>x</b>"))))
+over_titles("C01_clean_text", rf"regexp_replace({squeeze_sql(mojibake)}, '[^\x00-\x7F]+', '', 'g')", lambda: T.clean_text(T.unescape(F.concat(F.lit("&sbquo;&Auml;&igrave;"), C("abstract"), F.lit("&radic;&copy; <b>x</b>")))))
 PLACE = [(r"(?i)\b(?:https?://|www\.)[^\s<>]+", "<URL>"), (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<EMAIL>"), (r"\+?\d?[ ]?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}", "<PHONE>"), (r"[$£€¥]", "<CUR>")]
 over_titles("C02_placeholders", steps_sql("abstract", PLACE), lambda: T.placeholders(C("abstract")))
 over_titles(
@@ -71,8 +72,16 @@ def c05(spark, d):
     return article(spark, d).select("paper_id", t.alias("t")).select("paper_id", T.normal_abstract(C("t")).alias("out"))
 
 
+@query("C02_repaired", r"SELECT doc_id, trim(regexp_replace(replace(strip_accents(text), 'ß', 'ss'), '[\r\n]+', ' ', 'g')) AS out FROM documents")
+def c02_repaired(spark, d):
+    """Texts whose UTF-8 was read as Latin-1, repaired, transliterated and put on one line."""
+    ship(spark)
+    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return table(spark, d, "documents").select("doc_id", T.one_line(T.transliterate(T.repair(broken))).alias("out"))
+
+
 over_titles("C06_numeric_heads", r"trim(regexp_replace(title, '^(?:\d{2,3}:|#\d{3,4}|<PHONE>:)\s*', '')) || regexp_replace('12 Background ' || title, '^\d+\s*(Background)', '\1')", lambda: F.concat(T.without_numbers(C("title")), T.without_numbers_before(F.concat(F.lit("12 Background "), C("title")))))
-over_titles("C07_clean_term", squeeze_sql("regexp_replace(lower(trim(title)), '[-‐–—]', ' ', 'g')"), lambda: T.clean_term(C("title")))
+over_titles("C07_clean_term", squeeze_sql("regexp_replace(lower(trim(title)), '[-‐–—]', ' ', 'g')"), lambda: T.clean_term(T.nfkc(C("title"))))
 
 term = r"regexp_replace(lower(trim(title)), '^[+.,\d()\-\s]+', '')"
 for word in V.CANCER_QUALIFIERS:

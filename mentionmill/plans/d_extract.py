@@ -86,6 +86,12 @@ def d06(spark, d):
     return X.keep_labels(rows, ["click", "view", "error"], ["VIEW"]).select("event_id", "entity")
 
 
+@query("D06_union_of_taggers", "SELECT user_id, event_type AS entity FROM events WHERE event_type IN ('click', 'view') UNION SELECT user_id, event_type FROM events WHERE event_type IN ('error', 'purchase') AND event_id % 3 = 0")
+def d06_union(spark, d):
+    rows = table(spark, d, "events").select("event_id", "user_id", F.col("event_type").alias("entity"), F.col("event_type").alias("label"))
+    return X.union_labels("user_id", X.keep_labels(rows, ["click", "view"], []), X.keep_labels(rows.where("event_id % 3 = 0"), ["error", "purchase"], []))
+
+
 @query(
     "D07_windows",
     with_(ARTICLE) + r""", w AS (SELECT paper_id, len(regexp_extract_all(abstract, '\w+')) AS n FROM article)

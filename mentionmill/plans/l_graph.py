@@ -76,6 +76,24 @@ def l07(spark, d):
     return c.join(large, "component").select("id", "component")
 
 
+CHAIN = "WITH RECURSIVE e AS (SELECT 'c' || c_custkey AS a, 'c' || (c_custkey - c_custkey % 7) AS b FROM customer WHERE c_custkey % 5 < 2), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS id, a AS c FROM s UNION SELECT r.id, s.b FROM r JOIN s ON r.c = s.a), n AS (SELECT id, count(*) AS n FROM r GROUP BY id) "
+
+
+def chain(spark, d):
+    k = C("c_custkey")
+    return table(spark, d, "customer").where(k % 5 < 2).select(F.concat(F.lit("c"), k).alias("src"), F.concat(F.lit("c"), k - k % 7).alias("dst"), F.lit(1).alias("papers"), F.lit(1.0).alias("weight"))
+
+
+@query("L07_induced_edges", CHAIN + "SELECT a AS src, b AS dst FROM e JOIN n ON id = a WHERE n >= 3")
+def l07_edges(spark, d):
+    return G.large_components(chain(spark, d), 3)[0].select("src", "dst")
+
+
+@query("L07_dropped_vertices", CHAIN + "SELECT count(CASE WHEN n >= 3 THEN 1 END) AS kept, count(CASE WHEN n < 3 THEN 1 END) AS dropped FROM n")
+def l07_dropped(spark, d):
+    return G.large_components(chain(spark, d), 3)[1]
+
+
 @query("L08_node_size", ALL + ", g AS (SELECT id, count(dst) AS degree FROM vertex LEFT JOIN sym ON src = id GROUP BY id) SELECT id, round(5 + 20.0 * degree / (SELECT max(degree) FROM g), 4) AS size FROM g")
 def l08(spark, d):
     m, e = once(spark, d)
@@ -95,6 +113,12 @@ def l10(spark, d):
     return G.last_alias(aliases(spark, d))
 
 
+@query("L10_unmatched", with_(ALIAS) + "SELECT DISTINCT split_part(p_name, ' ', 2) AS name FROM part WHERE split_part(p_name, ' ', 2) NOT IN (SELECT alias FROM alias)")
+def l10_unmatched(spark, d):
+    names = table(spark, d, "part").select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("name"))
+    return G.unmatched(names, aliases(spark, d))
+
+
 @query("L11_synonyms", "WITH n AS (SELECT DISTINCT p_partkey, unnest([p_brand, p_type, CASE WHEN p_size > 25 THEN p_name END]) AS name FROM part), m AS (SELECT * FROM n WHERE name IS NOT NULL) SELECT a.name, list_sort(list(DISTINCT b.name)) AS synonyms FROM m a JOIN m b ON a.p_partkey = b.p_partkey AND a.name <> b.name GROUP BY a.name")
 def l11(spark, d):
     records = table(spark, d, "part").withColumn("third", F.when(C("p_size") > 25, C("p_name")))

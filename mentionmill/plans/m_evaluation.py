@@ -42,6 +42,16 @@ def m03(spark, d):
     return rounded(E.scores(E.set_confusion(y, "h", "m")))
 
 
+WRONG = "(SELECT l_orderkey AS key, list_sort(list_filter({0}, lambda v: NOT list_contains({1}, v))) AS names FROM y)"
+
+
+@query("M03_first_errors", with_(SETS) + ", ".join(["SELECT * FROM (SELECT 'fp' AS kind, key, names FROM " + WRONG.format("m", "h") + " WHERE len(names) > 0 ORDER BY key LIMIT 5) UNION ALL SELECT * FROM (SELECT 'fn', key, names FROM " + WRONG.format("h", "m") + " WHERE len(names) > 0 ORDER BY key LIMIT 5)"]))
+def m03_errors(spark, d):
+    part = lambda cond: F.collect_set(F.when(cond, C("l_partkey")))
+    y = table(spark, d, "lineitem").groupBy("l_orderkey").agg(part(C("l_returnflag") == "A").alias("h"), part(C("l_linestatus") == "F").alias("m"))
+    return E.first_errors(y, "l_orderkey", "h", "m")
+
+
 @query("M04_exact_match_rate", "SELECT round(avg(CASE WHEN trim(coalesce(o_orderpriority, '')) = CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE '2-HIGH ' END THEN 1.0 ELSE 0.0 END), 6) AS rate FROM orders")
 def m04(spark, d):
     said = F.when(C("o_orderkey") % 3 == 0, C("o_orderpriority")).otherwise(F.lit("2-HIGH "))
@@ -70,6 +80,11 @@ def m06(spark, d):
     return said(spark, d).agg(rate(a).alias("a01"), rate(C("p0") == C("p2")).alias("a02"), rate(a & b).alias("every"), F.count_if(~b).alias("differ"))
 
 
+@query("M06_disagreeing_rows", with_(SAID) + "SELECT event_id, p0, p1, p2 FROM said WHERE p0 <> p1 OR p0 <> p2")
+def m06_rows(spark, d):
+    return E.disagreeing(said(spark, d), "event_id", "p0", "p1", "p2")
+
+
 KINDS = ["click", "error", "purchase", "signup", "view", "none"]
 GRID = f"k AS (SELECT unnest({KINDS}) AS k), grid AS (SELECT a.k AS p0, b.k AS p1, (SELECT count(*) FROM said s WHERE s.p0 = a.k AND s.p1 = b.k) AS n FROM k a, k b)"
 

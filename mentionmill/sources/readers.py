@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import time
 from collections.abc import Callable, Iterator
 
@@ -124,8 +125,9 @@ def enrich(df: DataFrame, key: str, clients: list[Callable[[object], str | None]
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     """All rows that :func:`writers.append_csv` has put into ``path``, as strings, under the names of its header file."""
     header = spark.read.text(f"{path}/_header").first()[0]  # one line
-    names = header.split(",")
-    return spark.read.option("escape", '"').option("multiLine", "true").schema(", ".join(f"`{n}` string" for n in names)).csv(f"{path}/rows")
+    names = next(csv.reader([header]))
+    schema = StructType([StructField(n, StringType()) for n in names])
+    return spark.read.option("escape", '"').option("multiLine", "true").schema(schema).csv(f"{path}/rows")
 
 
 def with_batch(df: DataFrame, size: int, order: str) -> DataFrame:
@@ -142,6 +144,20 @@ def with_batch(df: DataFrame, size: int, order: str) -> DataFrame:
     return ranged.join(counts, "_range").withColumn("batch", F.ceil(place / size).cast("int")).drop("_range", "_before")
 
 
+def read_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The parts of a table that are there, as one; missing ones are skipped, and an error tells if none is there."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def there(path: str) -> bool:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop.getFileSystem(conf).exists(hadoop)
+
+    found = [p for p in paths if there(p)]
+    if not found:
+        raise FileNotFoundError(f"none of {len(paths)} parts is there")
+    return reassemble([spark.read.parquet(p) for p in found])
+
+
 def reassemble(parts: list[DataFrame]) -> DataFrame:
     """Parts of one table, some of which may lack columns."""
     out = parts[0]

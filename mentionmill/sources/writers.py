@@ -20,6 +20,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_a_file: in
     (writer.option("maxRecordsPerFile", rows_a_file) if rows_a_file else writer).csv(path)
 
 
+def _field(name: str) -> str:
+    """A name as a delimited field, on one line."""
+    name = name.replace("\n", " ").replace("\r", " ")
+    return '"' + name.replace('"', '""') + '"' if set(name) & set(',"') or name != name.strip() else name
+
+
 def append_csv(df: DataFrame, path: str) -> None:
     """Add rows to ``path``: files without headers under ``rows``, and one header file, written only when there is none yet.
 
@@ -30,7 +36,7 @@ def append_csv(df: DataFrame, path: str) -> None:
     jvm = spark.sparkContext._jvm
     header = jvm.org.apache.hadoop.fs.Path(f"{path}/_header")
     if not header.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(header):
-        spark.createDataFrame([(",".join(df.columns),)], "value string").coalesce(1).write.text(f"{path}/_header")
+        spark.createDataFrame([(",".join(_field(c) for c in df.columns),)], "value string").coalesce(1).write.text(f"{path}/_header")
     df.write.mode("append").option("escape", '"').csv(f"{path}/rows")
 
 
