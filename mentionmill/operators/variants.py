@@ -64,6 +64,15 @@ def without_gene_prefix(variant: Column, gene: Column) -> Column:
     return F.when(variant.startswith(low) & ~rest.rlike(r"^[*.]") & (F.length(rest) >= 2), rest).otherwise(variant)
 
 
+def without_alias_prefix(variant: Column, gene: Column, aliases: dict[str, str]) -> Column:
+    """The variant, trimmed and in lower case, without the first alias of its gene that it begins with; else as it is."""
+    low, symbol = F.lower(F.trim(variant)), F.upper(F.trim(gene))
+    out = F.lit(None).cast("string")
+    for alias, canonical in reversed(aliases.items()):
+        out = F.when((symbol == canonical) & low.startswith(alias.lower()), F.substr(low, F.lit(len(alias) + 1))).otherwise(out)
+    return F.coalesce(out, variant)
+
+
 def rejected(variant: Column) -> Column:
     shape = F.lit(False)
     for s in V.REJECTED_VARIANT_SHAPES:

@@ -125,6 +125,27 @@ def a09(spark, d):
     return R.flatten_works(spark.read.schema(R.RAW_WORK).json(path), base)
 
 
+@query(
+    "A09_nested_variants",
+    """SELECT r_regionkey::BIGINT AS gene_id, r_name AS gene, lower(r_name) AS gene_description, n_nationkey::BIGINT AS variant_id, n_name AS variant, s_suppkey AS profile_id, s_name AS profile, NULL::VARCHAR AS profile_description,
+    CASE s_suppkey % 3 WHEN 0 THEN 'None' WHEN 1 THEN s_suppkey || ': A (None)' ELSE s_suppkey || ': A (None) | ' || (s_suppkey + 1) || ': B (' || s_name || ')' END AS assertions FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+)
+def a09_variants(spark, d):
+    """Genes with variants, profiles and assertions, written as JSON lines of one gene each, read by their schema and flattened."""
+    s, n, r = (table(spark, d, t) for t in ("supplier", "nation", "region"))
+    none, k = F.lit(None).cast("string"), F.col("s_suppkey")
+    one = F.struct(k.alias("id"), F.lit("A").alias("name"), none.alias("description"))
+    two = F.struct((k + 1).alias("id"), F.lit("B").alias("name"), F.col("s_name").alias("description"))
+    told = F.when(k % 3 == 1, F.array(one)).when(k % 3 == 2, F.array(one, two)).otherwise(F.slice(F.array(one), 1, 0))
+    profile = s.select("s_nationkey", F.struct(k.alias("id"), F.col("s_name").alias("name"), none.alias("description"), F.struct(told.alias("nodes")).alias("assertions")).alias("p"))
+    variant = n.join(profile.groupBy("s_nationkey").agg(F.collect_list("p").alias("nodes")), F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    variant = variant.select("n_regionkey", F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.struct("nodes").alias("molecularProfiles")).alias("v"))
+    gene = r.join(variant.groupBy("n_regionkey").agg(F.collect_list("v").alias("nodes")), F.col("n_regionkey") == F.col("r_regionkey"))
+    path = f"{Scratch(spark, 'json').folder}/genes"
+    gene.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"), F.lower("r_name").alias("description"), F.struct("nodes").alias("variants")).write.json(path)
+    return R.flatten_genes(spark.read.schema(R.RAW_GENE).json(path))
+
+
 @query("A10_inverted_text", "SELECT doc_id, array_to_string(list_filter(string_split(coalesce(text, ''), ' '), lambda x: x <> ''), ' ') AS body FROM documents")
 def a10(spark, d):
     """Texts turned into maps from words to places, and back."""

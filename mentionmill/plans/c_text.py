@@ -183,6 +183,20 @@ def c17(spark, d):
     return rows.select("id", X.without_gene_prefix(C("v"), C("g")).alias("out"))
 
 
+ALIASED = "WITH v AS (SELECT p_partkey AS id, [{}][p_partkey % {} + 1] AS a, lower(split_part(p_name, ' ', 2)) AS tail FROM part), w AS (SELECT id, CASE WHEN id % 5 = 0 THEN 'TP53' ELSE a.gene END AS gene, a.alias || ' ' || tail AS v FROM v) SELECT id, CASE WHEN gene = 'TP53' THEN v ELSE ' ' || split_part(lower(v), ' ', -1) END AS out FROM w"
+SOME = [("HER3", "ERBB3"), ("CMET", "MET"), ("GALECTIN", "LGALS1"), ("TELOMERASE", "TERT")]
+
+
+@query("C17_alias_prefix", ALIASED.format(", ".join(f"{{'alias': '{a}', 'gene': '{g}'}}" for a, g in SOME), len(SOME)))
+def c17_alias(spark, d):
+    """Variants that begin with an alias of their gene, but for one in five, whose gene is another."""
+    k = C("p_partkey")
+    at = (k % len(SOME) + 1).cast("int")
+    alias, gene = (F.element_at(F.array(*[F.lit(x) for x in xs]), at) for xs in zip(*SOME, strict=True))
+    rows = table(spark, d, "part").select(k.alias("id"), F.when(k % 5 == 0, F.lit("TP53")).otherwise(gene).alias("gene"), F.concat(alias, F.lit(" "), F.lower(F.split_part("p_name", F.lit(" "), F.lit(2)))).alias("v"))
+    return rows.select("id", X.without_alias_prefix(C("v"), C("gene"), V.GENE_ALIASES).alias("out"))
+
+
 @query("C18_rejected_variants", "WITH a AS (SELECT p_partkey AS id, CASE p_partkey % 6 WHEN 0 THEN 'q' || p_size WHEN 1 THEN p_size || 'd' WHEN 2 THEN 'v3' WHEN 3 THEN 'v' || p_size || 'e' WHEN 4 THEN 'del19' ELSE lower(p_type) || 'wt' END AS v FROM part) SELECT id, v FROM a WHERE v IN ('v3', 'v7') OR NOT (" + " OR ".join(f"regexp_matches(v, {q(s)})" for s in V.REJECTED_VARIANT_SHAPES) + f" OR v IN ({_in(V.REMOVED_VARIANTS)}))")
 def c18(spark, d):
     k = C("p_partkey") % 6

@@ -144,6 +144,25 @@ def with_batch(df: DataFrame, size: int, order: str) -> DataFrame:
     return ranged.join(counts, "_range").withColumn("batch", F.ceil(place / size).cast("int")).drop("_range", "_before")
 
 
+#: A gene's record of a service: variants, their profiles, and the assertions about these.
+RAW_GENE = """id long, name string, description string, variants struct<nodes: array<struct<id: long, name: string,
+    molecularProfiles: struct<nodes: array<struct<id: long, name: string, description: string, assertions: struct<nodes: array<struct<id: long, name: string, description: string>>>>>>>>>"""
+
+
+def flatten_genes(genes: DataFrame) -> DataFrame:
+    """A row for each profile of each variant of each gene, its assertions joined in one text (``None`` without any).
+
+    Genes without variants and variants without profiles have no row; missing
+    names and descriptions in an assertion read ``None``.
+    """
+    variant = genes.select(F.col("id").alias("gene_id"), F.col("name").alias("gene"), F.col("description").alias("gene_description"), F.explode("variants.nodes").alias("v"))
+    profile = variant.select("gene_id", "gene", "gene_description", F.col("v.id").alias("variant_id"), F.col("v.name").alias("variant"), F.explode("v.molecularProfiles.nodes").alias("p"))
+    word = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
+    told = F.transform("p.assertions.nodes", lambda a: F.concat(word(a["id"]), F.lit(": "), word(a["name"]), F.lit(" ("), word(a["description"]), F.lit(")")))
+    text = F.coalesce(F.nullif(F.array_join(told, " | "), F.lit("")), F.lit("None"))
+    return profile.select("gene_id", "gene", "gene_description", "variant_id", "variant", F.col("p.id").alias("profile_id"), F.col("p.name").alias("profile"), F.col("p.description").alias("profile_description"), text.alias("assertions"))
+
+
 def read_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The parts of a table that are there, as one; missing ones are skipped, and an error tells if none is there."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -62,3 +62,30 @@ def test_errors_disagreements_and_taggers(spark):
     assert sorted(r.k for r in evaluate.disagreeing(said, "k", "a", "b", "c").collect()) == [2, 4]
     one, two = (spark.createDataFrame(r, "k int, entity string") for r in ([(1, "a"), (1, "a")], [(1, "a"), (2, "b")]))
     assert sorted(map(tuple, extract.union_labels("k", one, two).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_nested_genes(spark, tmp_path):
+    lines = [
+        '{"id": 1, "name": "G", "description": null, "variants": {"nodes": [{"id": 2, "name": "V", "molecularProfiles": {"nodes": [{"id": 3, "name": "P", "assertions": {"nodes": [{"id": 4, "name": "A", "description": "d"}, {"id": 5}]}}, {"id": 6, "name": "Q", "assertions": {"nodes": []}}, {"id": 7}]}}, {"id": 8, "name": "W"}]}}',
+        '{"id": 9, "name": "H"}',
+    ]
+    (tmp_path / "genes.json").write_text("\n".join(lines))
+    got = readers.flatten_genes(spark.read.schema(readers.RAW_GENE).json(f"{tmp_path}/genes.json")).collect()
+    assert [(r.gene_id, r.variant, r.profile_id, r.assertions) for r in got] == [(1, "V", 3, "4: A (d) | 5: None (None)"), (1, "V", 6, "None"), (1, "V", 7, "None")]
+
+
+def test_alias_prefixes(spark):
+    from mentionmill import fixed_values
+    from mentionmill.operators import variants
+
+    rows = [(1, "HER2 amp", "erbb2 "), (2, " her2neuX", "ERBB2"), (3, "HER2 amp", "EGFR"), (4, "v600e", "BRAF"), (5, None, "BRAF"), (6, "cbrafv600e", "BRAF"), (7, "x", None)]
+    df = spark.createDataFrame(rows, "k int, v string, g string")
+    got = {r.k: r.out for r in df.select("k", variants.without_alias_prefix(F.col("v"), F.col("g"), fixed_values.GENE_ALIASES).alias("out")).collect()}
+    want = {}
+    for k, v, g in rows:
+        want[k] = v
+        for alias, canonical in fixed_values.GENE_ALIASES.items():
+            if v is not None and g is not None and canonical == g.strip().upper() and v.strip().lower().startswith(alias.lower()):
+                want[k] = v.strip().lower()[len(alias):]
+                break
+    assert got == want and got[1] != "HER2 amp" and got[3] == "HER2 amp"
