@@ -142,8 +142,10 @@ def distinct_words(c: Column) -> Column:
 def clean_cancer_term(c: Column) -> Column:
     """Qualifiers removed one after the other as whole words, plurals made singular, repeated words dropped; null if nothing is left."""
     c = F.regexp_replace(F.lower(F.trim(c)), r"^[+.,\d()\-\s]+", "")
+    bare = c
     for word in V.CANCER_QUALIFIERS:
-        c = F.regexp_replace(c, rf"\b{word}\b\s*", "")
+        bare = F.regexp_replace(bare, rf"\b{word}\b\s*", "")
+    c = F.when(c.rlike(rf"\b(?:{'|'.join(V.CANCER_QUALIFIERS)})\b"), bare).otherwise(c)  # most terms have none
     for many, one in V.CANCER_SINGULARS:
         c = F.replace(c, F.lit(many), F.lit(one))
     c = distinct_words(c)
