@@ -17,6 +17,8 @@ U = np.uint64
 SIGNATURE = 128
 #: Rows that meet one copy of their centre's text.
 CENTER_ROWS = 256
+#: Cells of the sketch that orders shingles by how many rows have them.
+CELLS = 1 << 20
 #: Bytes of shingle sets that a tile holds at once; others are made again from the texts.
 HELD = 64_000_000
 
@@ -209,12 +211,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     under 75 %, are dropped) and then exactly on their full sets: the texts are
     read once, and each goes to its centre, whose own text is there once for
     every ``CENTER_ROWS`` of them, so that a centre of many is spread over tasks.
-    Components come from alternating stars. Where a bucket still holds members of
-    several components besides its smallest id, those members are compared with
-    each other by signature, in tiles of ``tile`` by ``tile``; only rows with a
-    likely partner get their texts and are compared exactly, within the tile,
-    which returns only links that join components; so no pair that shares a
-    bucket is left out and no list of pairs is made.
+    Components come from alternating stars. Where a bucket of up to ``tile`` rows
+    still holds members of several components besides its smallest id, those
+    members are compared with each other by signature; only rows with a likely
+    partner get their texts and are compared exactly, in that task, which returns
+    only links that join components. Rows of larger buckets are not compared all
+    with all: they meet in buckets of their rarest shingles (:func:`rare_buckets`),
+    of which any linked pair shares one, so that a passage of very many rows costs
+    no more than the rows. Only where more than ``tile`` rows share one and
+    aren't of one component yet is that bucket compared in tiles of ``tile`` by
+    ``tile``. No pair that shares a bucket is left out and no list of pairs is made.
 
     Sets are compared by 64-bit names of shingles, from names of words without
     algebraic structure; two different shingles of a pair are taken for one with
@@ -253,12 +259,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
 
     placed = buckets.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     open_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where(F.col("lo") != F.col("hi")).select("key", "members")
-    rest = scratch.write("open", placed.join(open_, "key").withColumn("tiles", F.ceil(F.col("members") / tile).cast("int")))
-    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    spread = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    spread = spread.select("key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    keys = rest.groupBy("node").agg(F.collect_list("key").alias("keys"))  # as many as bands at most
-    spread = spread.join(signature.join(keys, "node"), "node")
+    rest = scratch.write("open", placed.join(open_, "key"))
+    small, large = rest.where(F.col("members") <= tile), rest.where(F.col("members") > tile)
+    keys = small.groupBy("node").agg(F.collect_list("key").alias("keys"))  # as many as bands at most
+    spread = _tiles(small, tile).join(signature.join(keys, "node"), "node")
+    crowd = scratch.write("crowd", large.select("node", "component").distinct().join(bodies.withColumnRenamed("id", "node"), "node"))
+    if not crowd.isEmpty():
+        rare = scratch.write("rare", rare_buckets(crowd, scratch, shingle, percent))
+        scratch.drop("rarest")
+        spread = spread.unionByName(_two_sided(rare, tile).join(signature, "node").withColumn("keys", F.array("key")))
     likely = scratch.write("likely", spread.groupBy("key", "i", "j").applyInArrow(_tile_rows(likely_least), spread.schema))
     more = likely.join(bodies.withColumnRenamed("id", "node").hint("merge"), "node").groupBy("key", "i", "j").applyInArrow(_tile_links(likely_least, shingle, percent), "a long, b long")
     more = scratch.write("more", more.distinct())
@@ -268,12 +277,95 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     more = scratch.write("joint", more.unionByName(joint))
     if not more.isEmpty():
         found = scratch.write("all", connected_components(edges.unionByName(more)))
-    scratch.drop("features", "heads", "buckets", "edges", "open", "likely", "more", "joint")
+    scratch.drop("features", "heads", "buckets", "edges", "open", "crowd", "rare", "likely", "more", "joint")
     out = member.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     component = F.coalesce("component", "class_id")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "class_id")
 
 
+def _tiles(rows: DataFrame, tile: int) -> DataFrame:
+    """Rows ``key, node, component, members`` dealt to tiles ``i, j`` of ``tile`` by ``tile`` rows; a bucket that fits one is one."""
+    rows = rows.withColumn("tiles", F.ceil(F.col("members") / tile).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return rows.select("key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+
+
+def _two_sided(rows: DataFrame, tile: int) -> DataFrame:
+    """Rows of :func:`rare_buckets` dealt to tiles of ``tile`` rows that are first by ``tile`` others; tiles ``j`` are negative, so none meets itself."""
+    a, b = (F.ceil(F.col(c) / tile).cast("int") for c in ("firsts", "members"))
+    own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = rows.where("first").withColumns({"i": own(a), "j": each(b)}).withColumn("side", F.lit(0))
+    right = rows.withColumns({"j": own(b), "i": each(a)}).withColumn("side", F.lit(1))
+    return left.unionByName(right).select("key", "node", "component", "i", (-1 - F.col("j")).alias("j"), "side")
+
+
+def rare_buckets(crowd: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
+    """Buckets ``key, node, component, first, firsts, members`` of rows ``node, component, body`` by shingles that are rare.
+
+    Two sets of ``n <= m`` shingles that are ``percent`` alike share at least
+    ``2 * percent * n / (100 + percent)`` and at least ``percent * m / 100`` of
+    them. So, in any order that is the same for all sets, the first shingle they
+    share is among the first ``n - 2 * percent * n / (100 + percent) + 1`` of the
+    smaller (there its row is ``first``) and the first ``m - percent * m / 100 + 1``
+    of the larger; only rows that are ``first`` need to meet the others of a
+    bucket. The order is by rows that have the shingle, rarest first, as a sketch
+    of ``CELLS`` counts tells them: a passage that all rows share stands last, and
+    no bucket comes of it where each row has enough words of its own. No pair of
+    that similarity is left out, however good the sketch. Shingles alone in their
+    cell are in one row and make no bucket. Of buckets with the same rows one
+    stays, and none stays whose rows are of one component.
+    """
+    ship(crowd.sparkSession)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, cells = zstandard.ZstdDecompressor(), np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for body in batch.column("body").to_pylist():
+                np.add.at(cells, (shingle_hashes(open_.decompress(body), size) & U(CELLS - 1)).astype(np.int64), 1)
+        at = np.flatnonzero(cells)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(cells[at], pa.int64())], names=["cell", "n"])
+
+    told = crowd.select("body").mapInArrow(tidy(counted), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows at most
+    cells = np.zeros(CELLS, np.int64)
+    cells[told["cell"].to_numpy()] = told["n"].to_numpy()
+    shared = crowd.sparkSession.sparkContext.broadcast(cells)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, rows = zstandard.ZstdDecompressor(), shared.value
+        names, kept, held = ("node", "component", "key", "first"), [], 0
+
+        def batch_of(found: list) -> pa.RecordBatch:
+            sizes = [len(f[2]) for f in found]
+            nodes, components = (np.repeat(np.array([f[k] for f in found], np.int64), sizes) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(components), pa.array(np.concatenate([f[2] for f in found]).view(np.int64)), pa.array(np.concatenate([f[3] for f in found]))], names=names)
+
+        for batch in batches:
+            for node, component, body in zip(*[batch.column(c).to_pylist() for c in ("node", "component", "body")], strict=True):
+                own = shingle_hashes(open_.decompress(body), size)  # distinct, in order
+                n = rows[(own & U(CELLS - 1)).astype(np.int64)]
+                head = np.argsort(n, kind="stable")[: len(own) + percent * len(own) // -100 + 1]
+                is_first = np.arange(len(head)) < len(own) + 2 * percent * len(own) // -(100 + percent) + 1
+                shared_too = n[head] > 1
+                if shared_too.any():
+                    kept.append((node, component, own[head[shared_too]], is_first[shared_too]))
+                    held += int(shared_too.sum())
+                if held > 100_000:
+                    yield batch_of(kept)
+                    kept, held = [], 0
+        if kept:
+            yield batch_of(kept)
+
+    heads = scratch.write("rarest", crowd.select("node", "component", "body").mapInArrow(tidy(first), "node long, component long, key long, first boolean"))
+    part = 2**31 - 1  # sums of such parts stay within a long
+    name = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(part))
+    told = {"rows1": F.sum(name(1)), "rows2": F.sum(name(2)), "rows3": F.sum(F.when(F.col("first"), name(3)))}
+    sums = heads.groupBy("key").agg(F.count("*").alias("members"), F.count_if("first").alias("firsts"), F.min("component").alias("lo"), F.max("component").alias("hi"), *[c.alias(n) for n, c in told.items()])
+    sums = sums.where((F.col("lo") != F.col("hi")) & (F.col("firsts") > 0)).groupBy("members", "firsts", *told).agg(F.min("key").alias("key")).select("key", "members", "firsts")
+    return heads.join(sums, "key").select("key", "node", "component", "first", "firsts", "members")
+
+
 def _with_centers(pairs: DataFrame, parts: DataFrame, bodies: DataFrame) -> DataFrame:
     """The text of each pair's ``a`` and of its centre ``b``, sorted so that they meet: in ``parts`` of some ``CENTER_ROWS`` rows a centre."""
     n = F.coalesce("parts", F.lit(1))

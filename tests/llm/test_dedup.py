@@ -5,7 +5,11 @@ import random
 import re
 from collections import Counter
 
+import zstandard
+from pyspark.sql import functions as F
+
 from mentionmill.llm import line_dedup, minhash_dedup, substring_dedup, suffix_dedup
+from mentionmill.llm.common import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -44,8 +48,7 @@ def corpus(seed=3):
     return rows
 
 
-def test_near_duplicates_equal_brute_force(make):
-    rows = corpus()
+def brute_near(rows):
     sets = {i: shingles(t) for i, t in rows if i is not None}
     root = {i: i for i in sets}
 
@@ -61,9 +64,62 @@ def test_near_duplicates_equal_brute_force(make):
             if a < b and sets[a] and sets[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(make(rows), tile=8).collect()}
-    want = {i: (len(s), find(i), find(i) == i) for i, s in sets.items()} | {None: (1, None, True)}
-    assert got == want
+    return {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
+
+
+def told_near(docs, tile):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs, tile=tile).collect()}
+
+
+def test_near_duplicates_equal_brute_force(make):
+    rows = corpus()
+    assert told_near(make(rows), 8) == brute_near(rows) | {None: (1, None, True)}
+
+
+def beside_passage(r, n, own=12, every=None):
+    """Rows of one long passage with words of their own: 0.70 alike, so in each other's buckets and not linked; every ``every``-th is a near copy of an earlier row."""
+    passage, rows, tails = words(r, 60), [], []
+    for k in range(n):
+        copy = every and k % every == every - 1
+        tail = list(r.choice(tails)) if copy else [f"own{k}x{j}" for j in range(own)]
+        if copy:
+            tail[-1] = f"end{k}"
+        tails.append(tail)
+        rows.append((k, " ".join(passage + tail)))
+    return rows
+
+
+def test_near_duplicates_in_crowded_buckets_equal_brute_force(make):
+    """Buckets of many tiles, whose linked rows are mostly linked with another row than the smallest."""
+    rows = beside_passage(random.Random(4), 240, every=5)
+    want = brute_near(rows)
+    assert 150 < len({c for _, c, _ in want.values()}) < 240
+    for tile in (4, 16):
+        assert told_near(make(rows), tile) == want
+
+
+def crowd_of(spark, rows):
+    squeeze = zstandard.ZstdCompressor()
+    return spark.createDataFrame([(k, k, squeeze.compress(t.encode())) for k, t in rows], "node long, component long, body binary")
+
+
+def test_rows_of_a_crowded_bucket_cost_no_pairs(spark):
+    """20,000 rows around one passage: without links no bucket of rare shingles, with them as many pairs as links."""
+    pairs = F.coalesce(F.sum(F.col("firsts") * F.col("members")), F.lit(0))
+    for every, least, most in ((None, 0, 1), (50, 400, 20_000)):
+        scratch = Scratch(spark, "test")
+        made = minhash_dedup.rare_buckets(crowd_of(spark, beside_passage(random.Random(5), 20_000, every=every)), scratch, 5, 75)
+        assert least <= made.groupBy("key", "firsts", "members").count().agg(pairs).collect()[0][0] < most
+        scratch.drop("")
+
+
+def test_rare_buckets_are_empty_without_partners(spark):
+    scratch = Scratch(spark, "test")
+    one = crowd_of(spark, [(1, "a b c d e f g"), (2, "h i j k l")])
+    assert minhash_dedup.rare_buckets(one, scratch, 5, 75).count() == 0
+    assert minhash_dedup.rare_buckets(one.where("node < 0"), Scratch(spark, "test"), 5, 75).count() == 0
+    same = one.unionByName(one.withColumn("node", F.col("node") + 10))  # two rows of one component make no bucket
+    assert minhash_dedup.rare_buckets(same, Scratch(spark, "test"), 5, 75).count() == 0
 
 
 def test_near_duplicates_of_hard_tables(make):
