@@ -263,8 +263,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     small, large = rest.where(F.col("members") <= tile), rest.where(F.col("members") > tile)
     keys = small.groupBy("node").agg(F.collect_list("key").alias("keys"))  # as many as bands at most
     spread = _tiles(small, tile).join(signature.join(keys, "node"), "node")
-    crowd = scratch.write("crowd", large.select("node", "component").distinct().join(bodies.withColumnRenamed("id", "node"), "node"))
-    if not crowd.isEmpty():
+    crowded = scratch.write("crowded", large.select("node", "component").distinct())  # often nothing, or so few that Spark sends them to the texts
+    if not crowded.isEmpty():
+        crowd = scratch.write("crowd", crowded.join(bodies.withColumnRenamed("id", "node"), "node"))
         rare = scratch.write("rare", rare_buckets(crowd, scratch, shingle, percent))
         scratch.drop("rarest")
         spread = spread.unionByName(_two_sided(rare, tile).join(signature, "node").withColumn("keys", F.array("key")))
@@ -277,7 +278,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 75, bands:
     more = scratch.write("joint", more.unionByName(joint))
     if not more.isEmpty():
         found = scratch.write("all", connected_components(edges.unionByName(more)))
-    scratch.drop("features", "heads", "buckets", "edges", "open", "crowd", "rare", "likely", "more", "joint")
+    scratch.drop("features", "heads", "buckets", "edges", "open", "crowded", "crowd", "rare", "likely", "more", "joint")
     out = member.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
     component = F.coalesce("component", "class_id")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"), "class_id")
