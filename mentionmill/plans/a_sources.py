@@ -150,10 +150,7 @@ def a09_variants(spark, d):
 def a10(spark, d):
     """Texts turned into maps from words to places, and back."""
     words = F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda x: x != "")
-    rows = table(spark, d, "documents").select("doc_id", words.alias("words"))
-    placed = F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    index = F.map_from_entries(F.transform(F.array_distinct("words"), lambda w: F.struct(w, F.transform(F.filter(F.col("placed"), lambda x: x["w"] == w), lambda x: x["i"]))))
-    return rows.withColumn("placed", placed).select("doc_id", R.inverted_text(index).alias("body"))
+    return table(spark, d, "documents").select("doc_id", R.inverted_text(R.inverted_index(words)).alias("body"))
 
 
 @query(

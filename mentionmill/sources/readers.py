@@ -41,10 +41,33 @@ def log_total(lines: DataFrame, pattern: str, column: str = "value") -> DataFram
     return lines.where(F.col(column).rlike(pattern)).agg(F.sum(number.cast("double")).alias("total"), F.count("*").alias("n"))
 
 
+def inverted_index(words: Column) -> Column:
+    """A map of the words of an array to their places, from 0.
+
+    Words are sorted once with their places, and each run of one word is an
+    entry: the work grows with the words (and their logarithm), not with words
+    times distinct words. A lambda's argument holds the sorted array, so that
+    it is made once a row.
+    """
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+
+    def entries(at: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(1), F.size(at)), lambda i: (i == 1) | (F.get(at, i - 1)["w"] != F.get(at, i - 2)["w"]))
+
+        def runs(first: Column) -> Column:
+            after = lambda k: F.coalesce(F.get(first, k + 1), F.size(at) + 1)
+            return F.transform(first, lambda i, k: F.struct(F.get(at, i - 1)["w"], F.transform(F.sequence(i, after(k) - 1), lambda j: F.get(at, j - 1)["i"])))
+
+        return F.flatten(F.transform(F.array(first), runs))
+
+    found = F.flatten(F.transform(F.array(placed), lambda at: F.when(F.size(at) > 0, entries(at)).otherwise(F.array())))
+    return F.map_from_entries(found)
+
+
 def inverted_text(index: Column) -> Column:
     """Text from a map of words to their places."""
     pairs = F.flatten(F.transform(F.map_entries(index), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    return F.array_join(F.transform(F.array_sort(pairs), lambda x: x["w"]), " ")
+    return F.array_join(F.transform(F.sort_array(pairs), lambda x: x["w"]), " ")
 
 
 def joined(items: Column, field: Callable[[Column], Column], base: str = "", separator: str = "|") -> Column:

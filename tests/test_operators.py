@@ -289,3 +289,12 @@ def test_graph_files_and_appended_rows(spark, tmp_path):
     assert [tuple(r) for r in readers.read_appended(spark, f"{tmp_path}/log").collect()] == [("1", 'x, "y"\nz')] * 2
     header = [p for p in (tmp_path / "log" / "_header").iterdir() if p.name.startswith("part-")]
     assert [p.read_text() for p in header] == ["id,text\n"]
+
+
+def test_inverted_index_of_a_long_text(spark):
+    """20,000 words, 3,001 different ones: the old index compared each different word with all words, 60,000,000 times."""
+    words = F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda x: F.concat(F.lit("w"), (x * 7919 % 3001).cast("string")))
+    row = spark.range(1).select(words.alias("w")).select("w", readers.inverted_index(F.col("w")).alias("m")).select("w", "m", readers.inverted_text(F.col("m")).alias("t")).first()
+    assert row.t == " ".join(row.w) and len(row.m) == 3001 and row.m["w0"] == [k for k, w in enumerate(row.w) if w == "w0"]
+    empty = spark.range(1).select(F.array().cast("array<string>").alias("w")).select(readers.inverted_index(F.col("w")).alias("m")).first()
+    assert empty.m == {}
