@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mentionmill.runtime import cut
+from mentionmill.runtime import cut, ship
 
 #: Inner columns: the range of a row, its place within.
 PART, AT = "_part", "_at"
@@ -132,6 +134,62 @@ def in_intervals(points: DataFrame, spans: DataFrame, time: str, start: str, end
     return one.join(two, "_bucket").where((F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))).drop("_bucket")
 
 
+def _weight_inside(t: np.ndarray, before: np.ndarray, weight: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each span, the weight of the points (sorted by ``t``) with ``t < end`` and ``before >= start``: a wavelet matrix, a pass a bit of the ranks of ``before``."""
+    values, rank = np.unique(before, return_inverse=True)
+    least, lo, hi = np.searchsorted(values, start), np.zeros(len(start), np.int64), np.searchsorted(t, end)
+    sums = lambda x: np.concatenate([[0], np.cumsum(x)])
+    out = np.zeros(len(start), np.int64)
+    for b in reversed(range(int(len(values)).bit_length())):
+        one = (rank >> b) & 1
+        zeros, heavy = sums(1 - one), sums(weight * one)
+        up = ((least >> b) & 1) == 1
+        out += np.where(up, 0, heavy[hi] - heavy[lo])
+        lo, hi = (np.where(up, zeros[-1] + x - zeros[x], zeros[x]) for x in (lo, hi))
+        order = np.argsort(one, kind="stable")
+        rank, weight = rank[order], weight[order]
+    total = sums(weight)
+    return out + total[hi] - total[lo]
+
+
+def counted_in_intervals(points: DataFrame, spans: DataFrame, time: str, start: str, end: str, who: str, bucket: int, n: str = "n", distinct: str = "distinct") -> DataFrame:
+    """``spans`` that have a point in ``[start, end)``, with the number of their points and of the points' different ``who``; times are whole numbers.
+
+    No pair of a point and a span is made. A ``who`` counts in a span where its
+    first point there is, so the different ones are the points (each ``who``
+    once a time) less those whose ``who`` has its time before in the span too.
+    Points of one time with the same time before are one row with its counts
+    (times before longer ago than the longest span are alike), and equal spans
+    are one: what a bucket holds is bounded by the square of the longest span,
+    however many rows there are. Buckets of ``bucket`` are counted by
+    themselves (a span in each that it touches) and added up. Null times and
+    spans count nothing; a null ``who`` is a point of no one.
+    """
+    ship(points.sparkSession)
+    longest = F.broadcast(spans.agg(F.max(F.col(end) - F.col(start)).alias("_longest")))
+    t, none = F.col(time).cast("long"), F.lit(-(1 << 62))
+    once = points.where(F.col(time).isNotNull()).groupBy(F.col(who).alias("_who"), t.alias("_t")).agg(F.count("*").alias("_n"))
+    back = F.lag("_t").over(Window.partitionBy("_who").orderBy("_t"))
+    back = F.when(F.col("_who").isNotNull(), back)
+    rows = once.withColumn("_back", back).crossJoin(longest).withColumn("_back", F.when(F.col("_back") > F.col("_t") - F.col("_longest"), F.col("_back")).otherwise(none))
+    rows = rows.groupBy("_t", "_back").agg(F.sum("_n").alias("_n"), F.count("_who").alias("_u")).withColumn("_bucket", F.floor(F.col("_t") / bucket).cast("long"))
+    a, z = F.col(start).cast("long"), F.col(end).cast("long")
+    first, final = F.floor(F.col("_a") / bucket).cast("long"), F.floor((F.col("_z") - 1) / bucket).cast("long")
+    pieces = spans.where(a < z).select(a.alias("_a"), z.alias("_z")).distinct().select("_a", "_z", F.explode(F.sequence(first, final)).alias("_bucket"))
+
+    def count(here: pa.Table, asked: pa.Table) -> pa.Table:
+        here = here.sort_by("_t")
+        t, back, n, u = (here[c].to_numpy() for c in ("_t", "_back", "_n", "_u"))
+        a, z = asked["_a"].to_numpy(), asked["_z"].to_numpy()
+        lo, hi = np.searchsorted(t, a), np.searchsorted(t, z)
+        within = lambda w: (lambda s: s[hi] - s[lo])(np.concatenate([[0], np.cumsum(w)]))
+        return pa.table({"_a": a, "_z": z, "_n": within(n), "_u": within(u) - _weight_inside(t, back, u, a, z)})
+
+    told = rows.groupBy("_bucket").cogroup(pieces.groupBy("_bucket")).applyInArrow(count, "_a long, _z long, _n long, _u long")
+    told = told.groupBy("_a", "_z").agg(F.sum("_n").alias(n), F.sum("_u").alias(distinct)).where(F.col(n) > 0)
+    return spans.join(told, (a == F.col("_a")) & (z == F.col("_z"))).select(*spans.columns, n, distinct)
+
+
 def exact_percentile(df: DataFrame, keys: list[str], value: str, share: float, most: int = 10_000, bins: int = 1024, name: str = "percentile") -> DataFrame:
     """``keys`` and the percentile of ``value`` with linear interpolation; exact, and no buffer grows with a group.
 

@@ -118,3 +118,26 @@ def test_edges_and_cells_of_heavy_papers(spark, monkeypatch):
     assert len(got) == 45 and got["t1", "v1"] == (2, 1.5) and got["v0", "v6"] == (1, 0.5)
     cells = {(r.a, r.b): (r.papers, r.raw) for r in cooc.cooccurrence(mentions, studies, "T", "V").collect()}
     assert len(cells) == 21 and cells["t1", "v1"] == (2, 1.25) and cells["t0", "v3"] == (1, 0.25)
+
+
+@pytest.mark.parametrize("bucket", [3, 50])
+def test_counts_in_intervals_make_no_pairs(spark, bucket):
+    r = random.Random(5)
+    points = [(r.choice([None, 1, 2, 3, 4, 5]), r.choice([None, *range(-20, 80)])) for _ in range(400)]
+    spans = [(k, a := r.randrange(-30, 90), a + r.randrange(-2, 40)) for k in range(200)] + [(200, None, 5), (201, 3, 4), (202, 3, 4)]
+    p, s = spark.createDataFrame(points, "who long, t long"), spark.createDataFrame(spans, "k long, a long, b long")
+    got = ranges.counted_in_intervals(p, s, "t", "a", "b", "who", bucket)
+    want = []
+    for k, a, b in spans:
+        inside = [w for w, t in points if t is not None and a is not None and a <= t < b]
+        want += [(k, a, b, len(inside), len({w for w in inside if w is not None}))] if inside else []
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_interval_counts_of_many_rows_of_few_moments(spark):
+    """4,000,000 pairs of a point and a span are never made: the plan has no join of points with spans."""
+    p = spark.range(2000).selectExpr("id AS who", "id % 7 AS t")
+    s = spark.range(2000).selectExpr("id AS k", "0L AS a", "7L AS b")
+    got = ranges.counted_in_intervals(p, s, "t", "a", "b", "who", 10)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.select("n", "distinct").distinct().collect() == [(2000, 2000)] and "FlatMapCoGroupsInArrow" in plan
