@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mentionmill.operators.pairs import spread_pairs
+from mentionmill.runtime import Scratch
 
 
 def with_weight(studies: DataFrame, weights: dict[str, float], default: float = 0.0) -> DataFrame:
@@ -21,6 +22,7 @@ def cooccurrence(mentions: DataFrame, studies: DataFrame, left: str, right: str)
     """
     weighed = mentions.join(studies.where("weight > 0").select("paper_id", "weight"), "paper_id")
     a = weighed.where(F.col("category") == left).select("paper_id", F.col("entity").alias("a"), "weight")
+    a = Scratch(a.sparkSession, "cells").write("a", a)  # read for the pairs and for the base
     b = mentions.where(F.col("category") == right).select("paper_id", F.col("entity").alias("b"))
     raw = spread_pairs(a, b, "paper_id", "a", "b").groupBy("a", "b").agg(F.count("*").alias("papers"), F.sum(F.col("weight") * F.col("weight")).alias("raw"))
     base = a.groupBy("a").agg(F.sum("weight").alias("base"))

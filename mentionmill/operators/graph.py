@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mentionmill import fixed_values as V
-from mentionmill.operators.pairs import unordered_pairs
+from mentionmill.operators.pairs import packed, pairs_of
 from mentionmill.runtime import cut
 
 PRIORITY = {"Variant": 1, "Cancer": 2, "Treatment": 3, "Gene": 4}
@@ -19,8 +19,8 @@ def vertices(mentions: DataFrame) -> DataFrame:
 
 def edges(mentions: DataFrame, studies: DataFrame, ordered: bool = False) -> DataFrame:
     """``src, dst, papers, weight`` with ``src < dst``: all pairs of names of a paper; ``ordered`` counts both orders."""
-    m = mentions.select("paper_id", "entity").distinct().join(studies.select("paper_id", "weight"), "paper_id")
-    pairs = unordered_pairs(m, "paper_id", "entity", "weight")
+    blocks = packed(mentions.select("paper_id", "entity").distinct(), "paper_id", "entity").join(studies.select("paper_id", "weight"), "paper_id")
+    pairs = pairs_of(blocks, "paper_id", "weight")
     times = 2 if ordered else 1
     return pairs.groupBy("src", "dst").agg((times * F.count("*")).alias("papers"), (times * F.sum("weight")).alias("weight"))
 
@@ -46,7 +46,7 @@ def neighbours(edge: DataFrame, vertex: DataFrame, of: str) -> DataFrame:
 
 def degree(vertex: DataFrame, edge: DataFrame) -> DataFrame:
     """``id, degree, centrality``: neighbours, and as a share of all other vertices; vertices without edges have 0."""
-    d = symmetric(edge).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
+    d = edge.select(F.explode(F.array("src", "dst")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     n = vertex.agg(F.count("*").alias("_n"))
     out = vertex.select("id").join(d, "id", "left").crossJoin(F.broadcast(n))
     degree = F.coalesce("degree", F.lit(0))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from mentionmill.runtime import cut
+from mentionmill.runtime import Scratch
 
 #: Entities of a paper that are paired in one group; a heavier paper's entities are dealt to blocks of about as many.
 LIGHT = 256
@@ -26,32 +26,60 @@ def spread_pairs(left: DataFrame, right: DataFrame, key: str, a: str, b: str, li
     """The rows of ``left`` joined with those of ``right`` on ``key``: all pairs of a key's rows.
 
     A key of n and m rows gives n times m pairs, which is what is asked for; but
-    no task gets them all: both sides are dealt to blocks, every left block is
-    sent to each right block, and pairs of blocks are the keys of the join. A
-    row is repeated once for every block of the other side, so what is shuffled
-    grows with the pairs divided by ``light``. Keys of few rows have one block
-    and are not repeated.
+    no task gets them all: where keys have more than ``light`` rows, both of
+    their sides are dealt to blocks, every left block is sent to each right
+    block, and pairs of blocks are the keys of the join. Such a row is repeated
+    once for every block of the other side, so what is shuffled grows with the
+    pairs divided by ``light``. Keys of few rows are joined as they are. Both
+    tables are written once, as columns.
     """
-    one, two = blocked(cut(left), key, a, light), blocked(cut(right), key, b, light)
+    scratch, light = Scratch(left.sparkSession, "pairs"), light or LIGHT
+    left, right = scratch.write("left", left), scratch.write("right", right)
+    many = lambda d: d.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > light).select(key)
+    heavy = scratch.write("heavy", many(left).unionByName(many(right)).distinct())
+    if heavy.isEmpty():
+        return left.join(right, key)
+    few = left.join(heavy, key, "left_anti").join(right.join(heavy, key, "left_anti"), key)
+    one, two = blocked(left.join(heavy, key, "left_semi"), key, a, light), blocked(right.join(heavy, key, "left_semi"), key, b, light)
     # What a side has to know is the number of the other side's blocks: heavy keys only.
     of_one, of_two = (d.where("blocks > 1").select(key, F.col("blocks").alias("_other")).distinct() for d in (one, two))
     one = one.join(of_two, key, "left").select(*left.columns, F.col("block").alias("_i"), F.explode(F.sequence(F.lit(0), F.coalesce("_other", F.lit(1)) - 1)).alias("_j"))
     two = two.join(of_one, key, "left").select(*right.columns, F.col("block").alias("_j"), F.explode(F.sequence(F.lit(0), F.coalesce("_other", F.lit(1)) - 1)).alias("_i"))
-    return one.join(two, [key, "_i", "_j"]).drop("_i", "_j")
+    return few.unionByName(one.join(two, [key, "_i", "_j"]).drop("_i", "_j"))
 
 
 def unordered_pairs(rows: DataFrame, key: str, name: str, *more: str, light: int | None = None) -> DataFrame:
     """``key, src, dst`` with ``src < dst`` and the columns ``more``, which depend on the key: all pairs of a key's names; ``rows(key, name)`` are distinct.
 
-    As :func:`spread_pairs` within one table: a pair of blocks is made once, so
-    a row is repeated once a block of its key.
+    A key's names are put in order and gathered ``light`` at a time; these
+    blocks are written once, and a block's own pairs are made in its row, so
+    that rows that lie together by key are not shuffled again. Only keys of
+    several blocks are joined: a pair of blocks is a key of that join, so a
+    block is repeated once a block of its key and no task gets a heavy key's pairs.
     """
-    part = blocked(cut(rows.select(key, F.col(name).alias("_name"), *more)), key, "_name", light)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other")
-    part = part.select(key, "_name", *more, F.col("block").alias("_own"), other)
-    low, high = F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j")
-    sides = part.select(key, "_name", *more, "_own", low, high)
-    one = sides.where("_own = _i").select(key, "_i", "_j", F.col("_name").alias("_a"), *more)
-    two = sides.where("_own = _j").select(key, "_i", "_j", F.col("_name").alias("_b"))
-    met = one.join(two, [key, "_i", "_j"]).where((F.col("_i") != F.col("_j")) | (F.col("_a") < F.col("_b")))
-    return met.select(key, F.least("_a", "_b").alias("src"), F.greatest("_a", "_b").alias("dst"), *more)
+    return pairs_of(packed(rows, key, name, *more, light=light), key, *more)
+
+
+def packed(rows: DataFrame, key: str, name: str, *more: str, light: int | None = None) -> DataFrame:
+    """``key``, ``more``, ``block`` from 0, ``names``: the names of a key in order, ``light`` to a block."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy("_name"))
+    rows = rows.where(F.col(key).isNotNull() & F.col(name).isNotNull()).select(key, F.col(name).alias("_name"), *more)
+    rows = rows.withColumn("block", F.floor((place - 1) / (light or LIGHT)).cast("int"))
+    return rows.groupBy(key, *more, "block").agg(F.sort_array(F.collect_list("_name")).alias("names"))
+
+
+def pairs_of(blocks: DataFrame, key: str, *more: str) -> DataFrame:
+    """The pairs of the names of each key of :func:`packed`."""
+    blocks = Scratch(blocks.sparkSession, "pairs").write("blocks", blocks)
+    later = F.explode(F.slice("names", F.col("_at") + 2, F.size("names"))).alias("dst")
+    own = blocks.select(key, *more, "names", F.posexplode("names").alias("_at", "src")).select(key, "src", later, *more)
+    heavy = blocks.where("block > 0").groupBy(key).agg((F.max("block") + 1).alias("_blocks"))
+    if heavy.isEmpty():
+        return own
+    met = blocks.join(heavy, key).repartition(key, "block").select(key, *more, "names", "block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    low, high = F.least("block", "_other").alias("_i"), F.greatest("block", "_other").alias("_j")
+    sides = met.where("block <> _other").select(key, *more, "names", "block", low, high)
+    one = sides.where("block = _i").select(key, "_i", "_j", F.col("names").alias("_a"), *more)
+    two = sides.where("block = _j").select(key, "_i", "_j", F.col("names").alias("_b"))
+    across = one.join(two, [key, "_i", "_j"]).select(key, F.explode("_a").alias("src"), "_b", *more)
+    return own.unionByName(across.select(key, "src", F.explode("_b").alias("dst"), *more))

@@ -25,10 +25,9 @@ def edges(spark, d, ordered=False):
     return G.edges(mention(spark, d), O.with_weight(study(spark, d), V.GRAPH_WEIGHTS, 0.5), ordered)
 
 
-def once(spark, d):
-    """Mentions, evaluated once, and their edges."""
-    m = cut(mention(spark, d))
-    return m, G.edges(m, O.with_weight(study(spark, d), V.GRAPH_WEIGHTS, 0.5))
+def both(spark, d):
+    """Vertices, which need no mention twice, and edges."""
+    return G.vertices(mention(spark, d, distinct=False)), edges(spark, d)
 
 
 @query("L01_vertices", ALL + "SELECT id, category FROM vertex")
@@ -48,14 +47,14 @@ def l03(spark, d):
 
 @query("L04_neighbours", ALL + "SELECT dst AS id, round(weight, 6) AS weight, category FROM sym JOIN vertex ON id = dst WHERE src = 'Brand#1'")
 def l04(spark, d):
-    m = cut(mention(spark, d))
-    return G.neighbours(G.edges_of(m, O.with_weight(study(spark, d), V.GRAPH_WEIGHTS, 0.5), ["Brand#1"]), G.vertices(m), "Brand#1").withColumn("weight", F.round("weight", 6))
+    m = mention(spark, d)
+    return G.neighbours(G.edges_of(m, O.with_weight(study(spark, d), V.GRAPH_WEIGHTS, 0.5), ["Brand#1"]), G.vertices(mention(spark, d, distinct=False)), "Brand#1").withColumn("weight", F.round("weight", 6))
 
 
 @query("L05_degree", ALL + "SELECT id, count(dst) AS degree, round(count(dst) / ((SELECT count(*) FROM vertex) - 1)::DOUBLE, 6) AS centrality FROM vertex LEFT JOIN sym ON src = id GROUP BY id")
 def l05(spark, d):
-    m, e = once(spark, d)
-    return G.degree(G.vertices(m), e).withColumn("centrality", F.round("centrality", 6))
+    v, e = both(spark, d)
+    return G.degree(v, e).withColumn("centrality", F.round("centrality", 6))
 
 
 @query("L06_weight_statistics", ALL + "SELECT round(avg(weight), 6) AS mean, round(stddev_pop(weight), 6) AS sd, round(corr(papers, weight), 6) AS r, count_if(papers <> weight) AS differ FROM edge")
@@ -96,8 +95,8 @@ def l07_dropped(spark, d):
 
 @query("L08_node_size", ALL + ", g AS (SELECT id, count(dst) AS degree FROM vertex LEFT JOIN sym ON src = id GROUP BY id) SELECT id, round(5 + 20.0 * degree / (SELECT max(degree) FROM g), 4) AS size FROM g")
 def l08(spark, d):
-    m, e = once(spark, d)
-    g = cut(G.degree(G.vertices(m), e))  # read for the largest and for all
+    v, e = both(spark, d)
+    g = cut(G.degree(v, e))  # read for the largest and for all
     return g.crossJoin(F.broadcast(g.agg(F.max("degree").alias("hi")))).select("id", F.round(5 + 20.0 * C("degree") / C("hi"), 4).alias("size"))
 
 
@@ -155,9 +154,8 @@ def agreed(spark, d):
     SELECT section, name, rank::INT AS rank, round(weight, 6) AS weight, round(weight, 6) >= round(cut, 6) AND weight >= least AS highlight FROM ranked WHERE rank <= 6""",
 )
 def l13(spark, d):
-    m = cut(mention(spark, d))
-    edge = G.edges_of(m, O.with_weight(study(spark, d), V.GRAPH_WEIGHTS, 0.5), [CANCER, VARIANT]).withColumn("weight", F.round("weight", 6))
-    out = G.network_query(edge, G.vertices(m), agreed(spark, d), CANCER, VARIANT)
+    edge = cut(G.edges_of(mention(spark, d), O.with_weight(study(spark, d), V.GRAPH_WEIGHTS, 0.5), [CANCER, VARIANT]).withColumn("weight", F.round("weight", 6)))
+    out = G.network_query(edge, cut(G.vertices(mention(spark, d, distinct=False))), agreed(spark, d), CANCER, VARIANT)
     return out.withColumn("weight", F.round("weight", 6))
 
 

@@ -44,13 +44,21 @@ ARTICLE = rf"""article AS (
 WHOLE_ARTICLE = ARTICLE.replace(r"regexp_replace(coalesce(text, ''), '[^\x00-\x7F]+', '', 'g')", "coalesce(text, '')")
 
 
-def mention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``paper_id, category, entity``: one row for each pair; orders stand for papers."""
+def mention(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
+    """``paper_id, category, entity``: one row for each pair; orders stand for papers.
+
+    Lines are dealt by paper before their four names are told apart, so that
+    neither rows four times as many are shuffled nor what goes on by paper
+    shuffles again. Not ``distinct``: rows as they come, for what does not count them.
+    """
     line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     line = line.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     kinds = [("Treatment", "p_brand"), ("Cancer", "p_type"), ("Variant", "p_name"), ("Gene", "n_name")]
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("category"), F.col(c).alias("entity")) for k, c in kinds])).alias("m")
-    return line.select(F.col("l_orderkey").alias("paper_id"), pairs).select("paper_id", "m.*").distinct()
+    line = line.select(F.col("l_orderkey").alias("paper_id"), *[c for _, c in kinds])
+    if not distinct:
+        return line.select("paper_id", pairs).select("paper_id", "m.*")
+    return line.repartition("paper_id").select("paper_id", pairs).select("paper_id", "m.*").distinct()
 
 
 MENTION = """line AS (

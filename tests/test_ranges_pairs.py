@@ -141,3 +141,24 @@ def test_interval_counts_of_many_rows_of_few_moments(spark):
     got = ranges.counted_in_intervals(p, s, "t", "a", "b", "who", 10)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert got.select("n", "distinct").distinct().collect() == [(2000, 2000)] and "FlatMapCoGroupsInArrow" in plan
+
+
+def test_mentions_are_shuffled_once_by_paper(spark):
+    """Lists, pairs and cells go on by paper; before, four times the rows were shuffled and then dealt anew by paper."""
+    from mentionmill.plans import views
+    from mentionmill.operators import extract
+
+    d = "/root/testdata/sf0.001"
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    lists = plan(extract.entity_lists(views.mention(spark, d)))
+    assert lists.count("Exchange hashpartitioning") - lists.count("SortMergeJoin") * 2 <= 1
+    packed = plan(pairs.packed(views.mention(spark, d).select("paper_id", "entity").distinct(), "paper_id", "entity"))
+    assert packed.count("Exchange hashpartitioning") - packed.count("SortMergeJoin") * 2 <= 1
+
+
+def test_pairs_of_one_heavy_paper_are_whole(spark):
+    rows = spark.range(1000).selectExpr("1L AS paper", "printf('n%04d', id) AS name").unionByName(spark.range(5).selectExpr("2L AS paper", "printf('n%04d', id) AS name"))
+    blocks = pairs.packed(rows, "paper", "name", light=64)
+    assert blocks.agg(F.max(F.size("names"))).first()[0] == 64
+    made = pairs.pairs_of(blocks, "paper").where("src < dst").groupBy("paper").agg(F.count_distinct("src", "dst").alias("d"), F.count("*").alias("n"))
+    assert sorted(map(tuple, made.collect())) == [(1, 499_500, 499_500), (2, 10, 10)]
