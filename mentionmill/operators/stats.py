@@ -13,19 +13,41 @@ from mentionmill.operators.ranges import running_min, running_sum
 from mentionmill.runtime import cut
 
 
-def _log_choose(n: int, k: int) -> float:
-    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+#: Logarithms below which a share of the likeliest table's probability is nothing in double precision.
+FAINT = -750.0
+
+
+def _ratios(row: int, col: int, n: int, mode: int, last: int) -> np.ndarray:
+    """Logarithms of the probabilities of ``mode``, and on to ``last``, over that of ``mode``, as far as they are not nothing (some 40 standard deviations)."""
+    step, parts, at, size = (1 if last >= mode else -1), [np.zeros(1)], mode, 1024
+    while at != last and parts[-1][-1] > FAINT:
+        k = np.arange(at, at + step * min(size, abs(last - at)), step, dtype=float)
+        if step > 0:
+            logs = np.log(row - k) + np.log(col - k) - np.log(k + 1) - np.log(n - row - col + k + 1)
+        else:
+            logs = np.log(k) + np.log(n - row - col + k) - np.log(row - k + 1) - np.log(col - k + 1)
+        parts.append(parts[-1][-1] + np.cumsum(logs))
+        at, size = at + step * len(k), size * 2
+    return np.concatenate(parts)
 
 
 def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
-    """The probability of tables no likelier than ``[[a, b], [c, d]]`` with its margins."""
+    """The probability of tables no likelier than ``[[a, b], [c, d]]`` with its margins.
+
+    Probabilities are taken over that of the likeliest table, on both sides
+    until they are nothing in double precision: memory grows with the standard
+    deviation, which is the root of the counts, not with the counts.
+    """
     row, col, n = a + b, a + c, a + b + c + d
     low, high = max(0, row + col - n), min(row, col)
-    k = np.arange(low, high, dtype=float)
-    steps = np.log(row - k) + np.log(col - k) - np.log(k + 1) - np.log(n - row - col + k + 1)
-    start = _log_choose(row, low) + _log_choose(n - row, col - low) - _log_choose(n, col)
-    logs = start + np.concatenate([[0.0], np.cumsum(steps)])
-    return float(min(1.0, np.exp(logs[logs <= logs[a - low] + 1e-7]).sum()))
+    mode = min(high, max(low, (row + 1) * (col + 1) // (n + 2)))
+    up, down = _ratios(row, col, n, mode, high), _ratios(row, col, n, mode, low)
+    own, far = (up, a - mode) if a >= mode else (down, mode - a)
+    if far >= len(own):
+        return 0.0  # less than a double can tell
+    logs = np.concatenate([down[:0:-1], up])
+    each = np.exp(logs)
+    return float(min(1.0, each[logs <= own[far] + 1e-7].sum() / each.sum()))
 
 
 @F.pandas_udf(DoubleType())

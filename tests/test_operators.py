@@ -298,3 +298,15 @@ def test_inverted_index_of_a_long_text(spark):
     assert row.t == " ".join(row.w) and len(row.m) == 3001 and row.m["w0"] == [k for k, w in enumerate(row.w) if w == "w0"]
     empty = spark.range(1).select(F.array().cast("array<string>").alias("w")).select(readers.inverted_index(F.col("w")).alias("m")).first()
     assert empty.m == {}
+
+
+def test_fisher_of_large_counts_takes_little_memory():
+    """Counts of a hundred million: the old test listed all tables, some 10 GB."""
+    import tracemalloc
+
+    tracemalloc.start()
+    near = stats.fisher_two_sided(37_500_000, 62_500_000, 62_500_000, 104_166_667)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert near == pytest.approx(1.0, abs=1e-3) and peak < 50_000_000
+    assert stats.fisher_two_sided(0, 0, 0, 0) == 1.0 and stats.fisher_two_sided(1000, 0, 0, 1000) == pytest.approx(0.0, abs=1e-300)
