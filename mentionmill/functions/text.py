@@ -1,4 +1,4 @@
-"""Text rules as column expressions; nothing here leaves the JVM except :func:`nfkc` and :func:`unescape`."""
+"""Text rules as column expressions; nothing here leaves the JVM except :func:`nfkc`, :func:`unescape` and, where texts are not ASCII, :func:`repair` and :func:`transliterate`."""
 
 from __future__ import annotations
 
@@ -44,11 +44,23 @@ def nfkc(s: pd.Series) -> pd.Series:
 LETTERS = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ð": "d", "þ": "th", "–": "-", "—": "-", "‘": "'", "’": "'", "“": '"', "”": '"', "…": "..."}
 
 
-@F.pandas_udf(StringType())
-def transliterate(s: pd.Series) -> pd.Series:
+_TABLE = str.maketrans(LETTERS)
+
+
+@F.udf(StringType(), useArrow=False)  # rows go to Python a hundred at a time, so that long texts do not add up
+def _transliterated(x: str | None) -> str | None:
+    return None if x is None else unicodedata.normalize("NFKD", x.translate(_TABLE)).encode("ascii", "ignore").decode()
+
+
+def _where_not_ascii(rule, c: Column) -> Column:
+    """``rule``, which keeps ASCII as it is, for texts that have other characters: only those go to Python."""
+    other = F.when(F.length(c) < F.octet_length(c), c)
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(rule(other))
+
+
+def transliterate(c: Column) -> Column:
     """The closest ASCII letters; what has none is left out."""
-    table = str.maketrans(LETTERS)
-    return s.map(lambda x: unicodedata.normalize("NFKD", x.translate(table)).encode("ascii", "ignore").decode() if isinstance(x, str) else x)
+    return _where_not_ascii(_transliterated, c)
 
 
 def _repaired(text: str) -> str:
@@ -60,10 +72,14 @@ def _repaired(text: str) -> str:
     return text
 
 
-@F.pandas_udf(StringType())
-def repair(s: pd.Series) -> pd.Series:
+@F.udf(StringType(), useArrow=False)
+def _mended(x: str | None) -> str | None:
+    return None if x is None else _repaired(x)
+
+
+def repair(c: Column) -> Column:
     """Text whose UTF-8 was read as Windows-1252 or Latin-1, read right: all its characters are of that page and their bytes are UTF-8. Other text stays as it is."""
-    return s.map(lambda x: x if not isinstance(x, str) or x.isascii() else _repaired(x))
+    return _where_not_ascii(_mended, c)
 
 
 def one_line(c: Column) -> Column:

@@ -89,3 +89,12 @@ def test_alias_prefixes(spark):
                 want[k] = v.strip().lower()[len(alias):]
                 break
     assert got == want and got[1] != "HER2 amp" and got[3] == "HER2 amp"
+
+
+def test_long_texts_go_to_python_few_at_a_time(spark):
+    """Not as Arrow batches of ten thousand whole texts, and plain ASCII not at all."""
+    rows = spark.range(3).selectExpr("CASE id WHEN 0 THEN 'plain' WHEN 1 THEN 'Gr\u00c3\u00b6\u00c3\u009fe' END AS t")
+    out = rows.select(T.transliterate(T.repair(F.col("t"))).alias("o"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert [r.o for r in out.collect()] == ["plain", "Grosse", None]
