@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from mentionmill import fixed_values as V
 from mentionmill.operators.near_names import like_pairs
+from mentionmill.operators.neighbours import units
 from mentionmill.operators.pairs import spread_pairs
+from mentionmill.runtime import Scratch, ship
+
+#: Cosines of unit vectors as products of matrices differ from those computed one by one by much less.
+SLACK = 1e-9
+
 
 def windows(tokens: Column, size: int = 512, stride: int = 256, drop_tail: bool = False) -> Column:
     """Overlapping windows of a token array. All tokens are covered; ``drop_tail`` stops at the first short window."""
@@ -126,23 +134,52 @@ def entity_lists(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("paper_id", "category").agg(F.array_join(F.array_sort(F.collect_set("entity")), ", ").alias("entities"))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding", block: int = 1000) -> DataFrame:
+def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding", block: int = 4096) -> DataFrame:
     """The ``k`` nearest vectors by cosine to each of a stated set of query vectors, compared in blocks.
 
-    The queries go out ``block`` at a time, so that what is broadcast has a
-    bound; each task compares its vectors with a block and keeps the best ``k``
-    a query, so that no more than ``k`` rows a query and task are shuffled.
+    All queries meet all vectors, in products of a block of ``block`` vectors
+    and one of as many queries, dealt to tasks. A product only tells which
+    vectors may be among the best: those within ``SLACK`` of the ``k``-th; their
+    cosines are then computed one by one and ranked, ties by id, so rounding of
+    the products decides nothing. Of equal vectors the ``k + 1`` first by id go
+    in, since no later one can be among the ``k`` best. Vectors are of one length.
     """
-    q = queries.select(F.col(id_col).alias("query"), F.col(vector).alias("_q"))
-    blocks = max(1, -(-q.count() // block))
-    dot = F.aggregate(F.zip_with("_q", vector, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    spark = vectors.sparkSession
+    ship(spark)
+    scratch = Scratch(spark, "nearest")
+    kind = vectors.schema[id_col].dataType.simpleString()
+    copies = Window.partitionBy("_v").orderBy("_id")
+    rows = vectors.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("_id"), F.col(vector).alias("_v"))
+    rows = scratch.write("rows", rows.withColumn("_n", F.row_number().over(copies)).where(F.col("_n") <= k + 1).drop("_n"))
+    asked = scratch.write("asked", queries.where(F.col(vector).isNotNull()).select(F.col(id_col).alias("_id"), F.col(vector).alias("_v")))
+
+    def packs(df: DataFrame, name: str) -> DataFrame:
+        of = max(1, -(-df.count() // block))
+        df = df.withColumn("_pack", F.pmod(F.xxhash64("_id"), F.lit(of)))
+        return scratch.write(name, df.groupBy("_pack").agg(F.collect_list("_id").alias(f"{name}_ids"), F.collect_list("_v").alias(f"{name}_vs")).drop("_pack").repartition(min(of, 200)))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                qi, qv, vi, vv = (b.column(c)[r].values for c in ("q_ids", "q_vs", "v_ids", "v_vs"))
+                ids, others, of = qi.to_numpy(zero_copy_only=False), vi.to_numpy(zero_copy_only=False), units(vv)
+                q = units(qv)
+                for at in range(0, len(q), 512):
+                    part = ids[at : at + 512]
+                    c = q[at : at + 512] @ of.T
+                    c[part[:, None] == others[None, :]] = -np.inf
+                    m = min(k, c.shape[1])
+                    least = np.partition(c, c.shape[1] - m, axis=1)[:, c.shape[1] - m]
+                    i, j = np.nonzero((c >= least[:, None] - SLACK) & (c > -np.inf))
+                    yield pa.RecordBatch.from_arrays([qi.take(pa.array(i + at)), vi.take(pa.array(j)), pa.array(c[i, j])], ["query", "_id", "near"])
+
+    met = packs(asked, "q").crossJoin(packs(rows, "v")).mapInArrow(best, f"query {kind}, _id {kind}, near double")
+    met = scratch.write("met", met)
+    order = Window.partitionBy("query").orderBy(F.desc("near"), "_id")
+    edge = met.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).groupBy("query").agg(F.min("near").alias("_least"))
+    near = met.join(edge, "query").where(F.col("near") >= F.col("_least") - SLACK).select("query", "_id")
+    near = near.join(asked.select(F.col("_id").alias("query"), F.col("_v").alias("_q")), "query").join(rows, "_id")
+    dot = F.aggregate(F.zip_with("_q", "_v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
     norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    best = Window.partitionBy("query", "_task").orderBy(F.desc("cosine"), id_col)
-    out = None
-    for b in range(blocks):
-        part = F.broadcast(q.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b))
-        scored = vectors.select(id_col, vector).join(part).where(F.col(id_col) != F.col("query"))
-        scored = scored.select("query", id_col, (dot / (norm("_q") * norm(vector))).alias("cosine"), F.spark_partition_id().alias("_task"))
-        first = scored.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
-        out = first if out is None else out.unionByName(first)
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cosine"), id_col))).where(F.col("rank") <= k).select("query", id_col, "rank", "cosine")
+    told = near.select("query", F.col("_id").alias(id_col), F.try_divide(dot, norm("_q") * norm("_v")).alias("cosine"))
+    return told.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cosine"), id_col))).where(F.col("rank") <= k).select("query", id_col, "rank", "cosine")

@@ -131,3 +131,16 @@ def test_recall_of_vectors_of_documents(spark, texts):
     graph = neighbours.neighbour_graph(v, k=5, trees=8, leaf=60)
     exact = extract.nearest(v.where("vec_id % 10 = 0"), v, 5)
     assert neighbours.recall(graph, exact) >= 0.9
+
+
+def test_nearest_over_blocks_with_copies(spark):
+    """Blocks smaller than the tables; copies are ranked by id, whatever block they are in."""
+    r = np.random.default_rng(3)
+    base = r.standard_normal((40, 8)).astype(np.float32)
+    rows = [(k, base[k % 40].tolist()) for k in range(400)] + [(400, None)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = extract.nearest(v.where("vec_id % 50 = 0 AND vec_id < 400"), v, 12, block=7)
+    u = base.astype(float) / np.sqrt((base.astype(float) ** 2).sum(1))[:, None]
+    c = np.round(u @ u.T, 9)
+    want = [(q, m, n + 1) for q in range(0, 400, 50) for n, m in enumerate(sorted((m for m in range(400) if m != q), key=lambda m: (-c[q % 40, m % 40], m))[:12])]
+    assert sorted((x.query, x.vec_id, x.rank) for x in got.collect()) == sorted(want)
