@@ -54,5 +54,5 @@ def s02(spark, d):
 @query("S03_first_seen", "SELECT event_id, user_id FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE before IS NULL OR ts - before > INTERVAL 8 HOUR")
 def s03(spark, d):
     """Events of users who were not seen for eight hours, by state that forgets users after as long."""
-    told = S.replayed(spark, waves(spark, d), lambda e: S.first_seen(e, "ts", "user_id", 8 * 3600, "1 hour"), "first-seen")
+    told = S.replayed(spark, waves(spark, d), lambda e: S.first_seen(e, "ts", "user_id", 8 * 3600, "1 hour", "event_id"), "first-seen")
     return told.where("user_id IS NOT NULL").select("event_id", "user_id")

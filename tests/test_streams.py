@@ -55,3 +55,19 @@ def test_windows_leave_late_rows_out(spark):
     got = events.replayed(spark, parts, lambda e: counts_by_window(e, "ts", "k", "1 hour", "30 minutes"), "test-windows", True)
     told = {(r.start, r.k): r.n for r in got.where(F.col("k") != "end").collect()}
     assert told == {(at(0), "x"): 1, (at(60), "x"): 1, (at(120), "y"): 1, (at(180), "y"): 3}  # 20 comes when its hour is closed, 150 does not
+
+
+def test_first_seen_of_keys_that_share_a_bucket(spark):
+    """All keys are one bucket's: ties go by number, large numbers and nulls stay whole, keys are forgotten one by one."""
+    big = 2**53 + 1
+    parts = [
+        [(big + 1, 10, 1, 0.5), (big, 10, 1, float("nan")), (None, 10, None, None), (7, 30, 2, 1.0)],
+        [(8, 100, 1, 1.0), (9, 131, 2, 1.0), (big + 2, 110, None, 1.0)],
+        [(10, 9000, 2, 1.0), (None, 9000, big, 2.0)],
+        [(11, 900_000, -1, 1.0)],
+    ]
+    parts = [spark.createDataFrame([(i, at(m), k, x) for i, m, k, x in p], "id long, ts timestamp, k long, x double").coalesce(1) for p in parts]
+    out = events.replayed(spark, parts, lambda e: events.first_seen(e, "ts", "k", 100 * 60, order="id", buckets=1), "test-bucket")
+    got = sorted((str(r.id), r.ts, str(r.k), str(r.x)) for r in out.where("k IS NULL OR k <> -1").collect())
+    want = [(big, 10, 1, float("nan")), (None, 10, None, None), (7, 30, 2, 1.0), (9, 131, 2, 1.0), (10, 9000, 2, 1.0), (None, 9000, big, 2.0)]
+    assert got == sorted((str(i), at(m), str(k), str(x)) for i, m, k, x in want)
