@@ -2,8 +2,11 @@
 
 import os
 import random
+from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +54,33 @@ def test_rows_are_kept_by_either_column_and_the_others_put_aside(spark, profiles
     assert sorted((r.paper_id, r.said_title, r.said_abstract) for r in aside.collect()) == [(2, "de", "de"), (3, "unknown", "unknown")]
 
 
+@pytest.mark.parametrize("piece, triples", [(language.PIECE, language.MOST_TRIPLES), (5, 0)])
+def test_scores_are_those_of_plain_counts(spark, monkeypatch, piece, triples):
+    """Letters beyond 16 bits are one letter, texts in pieces and models that are searched give the same sums."""
+    monkeypatch.setattr(language, "PIECE", piece)
+    monkeypatch.setattr(language, "MOST_TRIPLES", triples)
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcä \U00010428\U00010429 中") for _ in range(r.choice([0, 1, 2, 3, 7, 40]))) for _ in range(60)] + [None]
+    grams = [f"{a}{b}{c}" for a in "abä" for b in "ab \U00010428" for c in "a中\U00010429"]
+    scores = [[r.randrange(-9000, 0), r.randrange(-9000, 0)] for _ in grams]
+    got = language.Scores(grams, np.array(scores)).of(texts).tolist()
+    score = dict(zip(grams, scores, strict=True))
+    met = [[score[t[i : i + 3]] for i in range(len(t) - 2) if t[i : i + 3] in score] for t in (x or "" for x in texts)]
+    assert got == [[len(m), sum(x[0] for x in m), sum(x[1] for x in m)] for m in met]
+    frames = language._counted(iter([pd.DataFrame({"lang": ["x"] * 61, "text": texts})]))
+    counts = Counter()
+    for f in frames:
+        counts.update(dict(zip(f["gram"], f["c"], strict=True)))
+    assert counts == Counter(t[i : i + 3] for t in texts if t for i in range(len(t) - 2))
+
+
+def test_letters_beyond_sixteen_bits_make_whole_trigrams(spark):
+    rows = [("en", "abc abd"), ("dsrt", "\U00010428\U00010429\U0001042a \U00010428\U00010429\U0001042b")]
+    fitted = language.fit_profiles(spark.createDataFrame(rows, "lang string, text string"))
+    want = {t[i : i + 3] for _, x in rows for t in (f" {x} ",) for i in range(len(t) - 2)}
+    assert {r.gram for r in fitted.collect()} == want
+
+
 def names_of(seed, n):
     r = random.Random(seed)
     word = lambda letters, k: "".join(r.choice(letters) for _ in range(k))
